@@ -3,10 +3,10 @@ to those of its language, besides plain counts. DataFrame and SQL functions only
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldenloom.llm.common import table, text_of
+from goldenloom.llm.common import table
 
 # Frequent function words of each language.
 COMMON = {
@@ -15,7 +15,6 @@ COMMON = {
     "de": "der die und in den von zu das mit sich des auf ist im dem nicht ein eine als auch es an er so dass kann bei einer aus nach".split(),
     "es": "de la que el en y a los se del las un por con no una su para es al lo como o pero sus le ha me si sin".split(),
 }
-BINS = 30
 CODES = "-abcdefghijklmnopqrstuvwxyzABCD"  # bin 0 is any other word
 SPACE = r"\\x20\\x09-\\x0D"
 CLASSES = ("lower", "upper", "digit", "space", "point", "symbol", "other")
@@ -34,12 +33,13 @@ def let(value: str, name: str, body: str) -> str:
 
 
 def _words(text: str) -> str:
-    trimmed = f"regexp_replace({text}, '^[{SPACE}]+|[{SPACE}]+$', '')"
+    trimmed = f"trim(BOTH ' \\t\\n\\u000B\\u000C\\r' FROM {text})"
     return let(trimmed, "tt", f"if(tt = '', cast(array() as array<string>), split(tt, '[{SPACE}]+'))")
 
 
 def _histograms(text: str, words: str, lang: str) -> list[str]:
-    """SQL of named_struct arguments: classes and codes (one letter a word) of the text."""
+    """SQL of named_struct arguments: classes, and bins: how often each common word stands in the text, after
+    the number of other words. Common words become letters, which are then counted by taking them out."""
     lists = " ".join(f"when '{k}' then array({', '.join(repr(w) for w in v)})" for k, v in COMMON.items())
     listed = f"case {lang} {lists} else array('') end"
     rest = f"regexp_replace({text}, '[a-z{SPACE}]+', '')"
@@ -48,13 +48,11 @@ def _histograms(text: str, words: str, lang: str) -> list[str]:
     point, symbol = r".,;:!?\\x22\\x27()\\-", r"#*$%&|<>@/\\\\\\[\\]{}=+_~^`\\x00-\\x08\\x0E-\\x1F\\x7F"
     upper, digit, points, symbols = less("A-Z"), less("0-9"), less(point), less(symbol)
     classes = f"array(length({text}) - length(r) - {space}, {upper}, {digit}, {space}, {points}, {symbols}, length(r) - {upper} - {digit} - {points} - {symbols})"
-    codes = f"array_join(transform({words}, x -> substring('{CODES}', cast(array_position(cc, x) as int) + 1, 1)), '')"
-    return ["'classes'", let(rest, "r", classes), "'codes'", let(listed, "cc", codes)]
-
-
-def _bins(codes: str) -> str:
-    """SQL: an array of how often each code stands in the string."""
-    return f"array({', '.join(f'''length({codes}) - length(replace({codes}, '{c}', ''))''' for c in CODES)})"
+    short = f"filter({words}, x -> octet_length(x) <= {max(len(w.encode()) for v in COMMON.values() for w in v)})"
+    codes = f"replace(array_join(transform({short}, x -> substring('{CODES}', cast(array_position(cc, x) as int) + 1, 1)), ''), '-', '')"
+    each = ", ".join(f"length(cd) - length(replace(cd, '{c}', ''))" for c in CODES[1:])
+    bins = let(listed, "cc", let(codes, "cd", f"array(size({words}) - length(cd), {each})"))
+    return ["'classes'", let(rest, "r", classes), "'bins'", bins]
 
 
 def _repeat_words(words: str) -> str:
@@ -68,20 +66,25 @@ def _repeat_words(words: str) -> str:
     return f"if(size({words}) < 3, 0, {let(hashes, 'hs', f'if(size(array_distinct(hs)) = size(hs), 0, {found})')})"
 
 
-def _known(lang_col: str, columns: list[str]) -> Column:
-    if lang_col not in columns:
-        return F.lit("other")
-    return F.when(F.col(lang_col).isin(*COMMON), F.col(lang_col)).otherwise("other")
+def measure(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """docs plus a struct column __f: the counts of each text, its histograms, and the language it is judged
+    by ('other' for those that COMMON doesn't list)."""
+    lines = f"filter(split(t, '\\n'), l -> l rlike '[^{SPACE}]')"
+    args = ", ".join([
+        "'lang'", "k", "'n_words'", "cast(size(w) as long)", "'word_chars'", "cast(length(array_join(w, '')) as long)",
+        "'n_symbols'", "cast(length(regexp_replace(t, '[^#*$%&|<>]+', '')) as long)",
+        "'n_dup_lines'", f"cast({let(lines, 'ls', 'size(ls) - size(array_distinct(ls))')} as long)",
+        "'n_repeat_words'", f"cast({_repeat_words('w')} as long)", "'n_chars'", "length(t)", *_histograms("t", "w", "k")])
+    listed = ", ".join(repr(k) for k in COMMON)
+    lang = f"if(`{lang_col}` in ({listed}), `{lang_col}`, 'other')" if lang_col in docs.columns else "'other'"
+    return docs.withColumn("__f", F.expr(let(text_of_sql(text_col), "t", let(lang, "k", let(_words("t"), "w", f"named_struct({args})")))))
 
 
-def language_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_words: int = 50) -> DataFrame:
+def language_references(measured: DataFrame, min_words: int = 50) -> DataFrame:
     """(lang, ref_classes, ref_bins): summed histograms of all texts of at least `min_words` words, for each
     language of COMMON and 'other'; five rows at most."""
-    args = ", ".join(["'n'", "size(w)", *_histograms("t", "w", "lang")])
-    made = docs.select(text_of(text_col).alias("t"), _known(lang_col, docs.columns).alias("lang")).select("lang", F.expr(let(_words("t"), "w", f"named_struct({args})")).alias("f"))
-    made = made.where(F.col("f.n") >= min_words).select("lang", F.col("f.classes").alias("c"), F.expr(_bins("f.codes")).alias("b"))
-    sums = [F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(len(CLASSES))] + [F.sum(F.col("b")[i]).alias(f"b{i}") for i in range(len(CODES))]
-    return made.groupBy("lang").agg(*sums).select(
+    sums = [F.sum(F.col("__f.classes")[i]).alias(f"c{i}") for i in range(len(CLASSES))] + [F.sum(F.col("__f.bins")[i]).alias(f"b{i}") for i in range(len(CODES))]
+    return measured.where(F.col("__f.n_words") >= min_words).groupBy(F.col("__f.lang").alias("lang")).agg(*sums).select(
         "lang", F.array(*(f"c{i}" for i in range(len(CLASSES)))).alias("ref_classes"), F.array(*(f"b{i}" for i in range(len(CODES)))).alias("ref_bins"))
 
 
@@ -93,47 +96,35 @@ def _distance(counts: str, reference: str) -> str:
     return f"{let(total(counts), 'na', let(total(reference), 'nb', f'if(na is null or nb is null, null, sqrt(greatest(0D, {body} / 2D)))'))}"
 
 
-def judge(docs: DataFrame, references: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """docs plus a struct column __q: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    class_distance, word_distance, base_failed, kept.
+def judge(measured: DataFrame, references: DataFrame) -> DataFrame:
+    """measured, its __f replaced by a struct column __q: n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, class_distance, word_distance, base_failed, kept.
 
     A null text is an empty one: it has no words, fails the base rule and is not kept. Distances are null
     where the text or the reference is empty; then, and under the guards, they reject nothing. Texts of
     a language without a common-word list, or of none, are judged by their character classes alone."""
-    lines = f"filter(split(t, '\\n'), l -> l rlike '[^{SPACE}]')"
-    args = ", ".join([
-        "'n_words'", "cast(size(w) as long)", "'word_chars'", "cast(length(array_join(w, '')) as long)",
-        "'n_symbols'", "cast(length(regexp_replace(t, '[^#*$%&|<>]+', '')) as long)",
-        "'n_dup_lines'", f"cast({let(lines, 'ls', 'size(ls) - size(array_distinct(ls))')} as long)",
-        "'n_repeat_words'", f"cast({_repeat_words('w')} as long)", "'n_chars'", "length(t)", *_histograms("t", "w", "k")])
-    measured = f"{let(text_of_sql(text_col), 't', let(known_sql(lang_col, docs.columns), 'k', let(_words('t'), 'w', f'named_struct({args})')))}"
-    widened = docs.withColumn("__f", F.expr(measured)).withColumn("__k", _known(lang_col, docs.columns))
     refs = F.broadcast(references.select(F.col("lang").alias("__k"), F.col("ref_classes").alias("__rc"), F.col("ref_bins").alias("__rb")))  # five rows at most
-    judged = widened.join(refs, "__k", "left")
-    judged = judged.withColumn("__d", F.expr(f"struct({_distance('__f.classes', '__rc')} as c, {_distance(_bins('__f.codes'), '__rb')} as w)"))
+    judged = measured.join(refs, F.col("__f.lang") == F.col("__k"), "left")
+    judged = judged.withColumn("__d", F.expr(f"struct({_distance('__f.classes', '__rc')} as c, {_distance('__f.bins', '__rb')} as w)"))
     failed = "(__f.n_words < 50 or 100 * __f.n_repeat_words > 50 * __f.n_words)"
-    far = f"((__f.n_chars >= {MIN_CHARS} and coalesce(__d.c, 0D) > {MAX_CLASS_DISTANCE}D) or (__k <> 'other' and __f.n_words >= {MIN_WORDS} and coalesce(__d.w, 0D) > {MAX_WORD_DISTANCE}D))"
+    far = f"((__f.n_chars >= {MIN_CHARS} and coalesce(__d.c, 0D) > {MAX_CLASS_DISTANCE}D) or (__f.lang <> 'other' and __f.n_words >= {MIN_WORDS} and coalesce(__d.w, 0D) > {MAX_WORD_DISTANCE}D))"
     fields = [f"__f.{c} as {c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     q = F.expr(f"struct({', '.join(fields)}, __d.c as class_distance, __d.w as word_distance, {failed} as base_failed, not {failed} and not {far} as kept)")
-    return judged.withColumn("__q", q).select(*(docs[c] if c not in judged.columns else F.col(f"`{c}`") for c in docs.columns), "__q")
+    return judged.withColumn("__q", q).drop("__f", "__k", "__rc", "__rb", "__d")
 
 
 def text_of_sql(text_col: str) -> str:
     return f"coalesce(cast(`{text_col}` as string), '')"
 
 
-def known_sql(lang_col: str, columns: list[str]) -> str:
-    return f"if(`{lang_col}` in ({', '.join(repr(k) for k in COMMON)}), `{lang_col}`, 'other')" if lang_col in columns else "'other'"
-
-
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per input row: id and the fields of judge(). Other columns are ignored."""
-    references = table(language_references(docs, text_col, lang_col), "language-references")
-    narrow = docs.select(id_col, text_col, *([lang_col] if lang_col in docs.columns else []))
-    return judge(narrow, references, text_col, lang_col).select(id_col, "__q.*")
+    """One row per input row: id and the fields of judge(). Other columns are ignored. Texts are read once."""
+    narrow = docs.select(F.col(id_col).alias("__id"), text_col, *([lang_col] if lang_col in docs.columns else []))
+    measured = table(measure(narrow, text_col, lang_col).select("__id", "__f"), "quality-measures")
+    return judge(measured, language_references(measured)).select(F.col("__id").alias(id_col), "__q.*")
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The docs that are kept, with their columns."""
-    references = table(language_references(docs, text_col, lang_col), "language-references")
-    return judge(docs, references, text_col, lang_col).where("__q.kept").drop("__q")
+    """The docs that are kept, with their columns (which must not be called __f, __q, __k, __rc, __rb, __d)."""
+    measured = table(measure(docs, text_col, lang_col), "quality-measures")
+    return judge(measured, language_references(measured)).where("__q.kept").drop("__q")

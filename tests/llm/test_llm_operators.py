@@ -32,7 +32,7 @@ def docs(spark):
         (9007, "4111 1111 1111 1111 CC-BY, General   Public License\nAll rights reserved. ccs by all rights", None), (9008, "x" * 3000, "fr"), (9009, "1" * 3000 + "\n" + "+1" * 500, "en"),
     ]
     extra = spark.createDataFrame([(i, t, la, "s", 1) for i, t, la in odd], "doc_id long, text string, lang string, source string, n_chars long")
-    clash = {c: F.lit(7) for c in ("id", "text_hash", "n_words", "fp", "unit", "__k", "w", "t", "base", "item_id", "row", "h")}
+    clash = {c: F.lit(7) for c in ("id", "text_hash", "n_words", "fp", "unit", "w", "t", "base", "item_id", "row", "h")}
     return real.unionByName(extra).withColumns(clash).cache()
 
 
