@@ -30,7 +30,7 @@ TEMPLATES = (
     ("cc-by-sa-4.0", "licensed under cc by sa 4 0", "cc by sa 4 0"),
     ("cc-by-4.0", "licensed under cc by 4 0", "cc by 4 0"),
 )
-RARE = 4
+RARE = 3
 AGREE = 2
 GAP = r"[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 ANY_CASE_GAP = r"[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
@@ -55,7 +55,9 @@ def rare_tokens(docs: DataFrame, text_col: str = "text", templates=TEMPLATES, ra
 def scan(docs: DataFrame, rare: list[list[str]], id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES) -> DataFrame:
     """(id, text_hash, n_words, base, w): base is an array of struct(i, label) of the phrases' places; w the
     words of texts that hold a rare token or a phrase, else null."""
-    wanted = sorted({w for words in rare for w in words} | {p.replace(" ", ANY_CASE_GAP) for _, p in phrases}, key=lambda x: (-len(x), x))
+    # A key phrase never stands without its rarest token. Short ones must be whole words.
+    alone = lambda w: w if len(w) > 3 else f"(?<![0-9A-Za-z]){w}(?![0-9A-Za-z])"
+    wanted = sorted({alone(words[0]) for words in rare} | {p.replace(" ", ANY_CASE_GAP) for _, p in phrases}, key=lambda x: (-len(x), x))
     gate = f"t rlike '(?i){'|'.join(wanted)}'"
     words = f"filter(split(translate(t, '{_UPPER}', '{_LOWER}'), '{GAP}'), x -> x <> '')"
     places = []
