@@ -107,7 +107,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     columns = [c for c in docs.columns if c != "n_deleted_lines"]
     kept = docs.select(*columns)
     on = kept[id_col].eqNullSafe(runs["id"]) & F.xxhash64(kept[text_col]).eqNullSafe(runs["text_hash"])
-    marked = kept.join(runs, on, "left").select(*(kept[c] for c in columns), runs["runs"].alias("__runs"))
+    # Always by shuffle, as the runs grow with the texts.
+    marked = kept.join(runs.hint("merge"), on, "left").select(*(kept[c] for c in columns), runs["runs"].alias("__runs"))
     at = columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
