@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from goldenloom.plans import relational, warehouse  # noqa: F401
+from goldenloom.plans.registry import ORACLE_SQL, QUERIES  # noqa: F401
