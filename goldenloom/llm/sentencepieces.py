@@ -28,7 +28,7 @@ from goldenloom.llm.common import join_on, table
 SPACE = "▁"
 BLOCK = 64
 #: Units whose paths are sent to every worker: at most so many, about 50 bytes each. All others are joined.
-FREQUENT_UNITS = 300_000
+FREQUENT_UNITS = 150_000
 #: A vocabulary up to this size is broadcast; a larger one is joined as Spark sees fit.
 BROADCAST_PIECES = 1_000_000
 UNKNOWN_PENALTY = 10.0
@@ -52,18 +52,18 @@ class Pieces:
         return min(s for *_, s in self.pieces) - UNKNOWN_PENALTY
 
     def unit_pattern(self) -> str:
-        """Units end where no piece goes on: before a space mark after anything else, before closing
-        punctuation after other characters, and around characters that stand in no longer piece."""
+        """Units end where no piece goes on: before a space mark after anything else, between other
+        characters and punctuation that no piece has after them, and around characters that stand in no
+        longer piece."""
         long = [p for p, *_ in self.pieces if len(p) > 1]
         if any(SPACE in p.lstrip(SPACE) for p in long):
             raise ValueError("pieces go over a space: units can't be cut")
-        closing, before = set(_PUNCTUATION), [(a, b) for p in long for a, b in zip(p, p[1:])]
-        while bad := {b for a, b in before if b in closing and a not in closing and a != SPACE}:
-            closing -= bad
+        follows = {b for p in long for a, b in zip(p, p[1:]) if a.isalnum() and not b.isalnum()}
         alone = set("\n\r\t") - {c for p in long for c in p}
-        c, i = (re.escape("".join(sorted(x))) for x in (closing, alone))
-        closed, other = f"[{c}]" if c else "(?!)", f"[^{SPACE}{c}{i}]"
-        return (f"[{i}]|" if i else "") + f"{SPACE}+{closed}*{other}*|{closed}+{other}*|{other}+"
+        some = lambda chars: f"[{re.escape(''.join(sorted(chars)))}]" if chars else "(?!)"
+        letter, point = r"[^\W_]", rf"(?![{SPACE}{re.escape(''.join(sorted(alone)))}])[\W_]"
+        rest = f"(?:{some(follows)}(?:{point})*{letter}*)*" if follows else ""
+        return f"{some(alone)}|{SPACE}+(?:{point})*{letter}*{rest}|(?:{point})+{letter}*{rest}|{letter}+{rest}"
 
 
 def load_pieces(path: str) -> Pieces:
@@ -94,9 +94,10 @@ def lattice(units: DataFrame, model: Pieces) -> DataFrame:
     pieces = F.broadcast(pieces) if len(model.pieces) <= BROADCAST_PIECES else pieces
     blocks = units.select("unit", "n", F.length("unit").alias("len"), F.explode(F.expr(f"sequence(0, length(unit) - 1, {BLOCK})")).alias("at"))
     blocks = blocks.select("unit", "n", F.expr("len - at as rest"), "at", F.expr(f"substring(unit, at + 1, {BLOCK + longest - 1}) as block"))
-    inner = f"transform(sequence(1, least({longest}, rest - i)), l -> named_struct('i', i, 'l', l, 'p', substring(block, i + 1, l)))"
-    subs = blocks.select("unit", "n", "at", F.explode(F.expr(f"flatten(transform(sequence(0, least({BLOCK}, rest) - 1), i -> {inner}))")).alias("x"))
-    edges = subs.select("unit", "n", F.expr("at + x.i as s"), F.expr("at + x.i + x.l as e"), "x.l", "x.p").join(pieces, F.col("p") == F.col("piece"), "left")
+    starts = blocks.select("unit", "n", "at", "rest", "block", F.explode(F.expr(f"sequence(0, least({BLOCK}, rest) - 1)")).alias("i"))
+    subs = starts.select("unit", "n", F.expr("at + i as s"), "block", "i", F.explode(F.expr(f"sequence(1, least({longest}, rest - i))")).alias("l"))
+    subs = subs.select("unit", "n", "s", F.expr("s + l as e"), "l", F.expr("substring(block, i + 1, l) as p"))
+    edges = subs.join(pieces, F.col("p") == F.col("piece"), "left")
     edges = edges.where("id is not null or l = 1").select("unit", "n", "e", "s", F.expr("coalesce(id, -1 - ascii(p)) as id"), F.expr(f"coalesce(score, {model.unknown_score}D) as score"))
     step = "named_struct('best', concat({best}, array(a.best[x.s] + x.score)), 'back', concat({back}, array(named_struct('s', x.s, 'id', x.id))))"
     fold = (
@@ -106,7 +107,7 @@ def lattice(units: DataFrame, model: Pieces) -> DataFrame:
         "a -> aggregate(sequence(size(a.back), 1, -1), named_struct('at', size(a.back), 'ids', cast(array() as array<int>)), (b, i) -> "
         "if(i = b.at, named_struct('at', a.back[i - 1].s, 'ids', concat(array(a.back[i - 1].id), b.ids)), b), b -> b.ids))"
     )
-    grouped = edges.groupBy("unit").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("e", "s", "id", "score"))).alias("edges"))
+    grouped = edges.groupBy("unit").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("e", "s", "id", "score"))).alias("edges"))
     return grouped.select("unit", "n", F.expr(fold).alias("path"))
 
 
@@ -176,7 +177,7 @@ def encode(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col: str
         for b in batches:
             for t in b.column(0):
                 seen.update(find(marked(t.as_py())))
-                if len(seen) > 300_000:
+                if len(seen) > 100_000:
                     yield told()
                     seen.clear()
         yield told()
