@@ -147,4 +147,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The docs whose id is their component's smallest: one row of each group stays, with its columns."""
     keep = table(near_duplicates(docs, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col).distinct(), "survivors")
-    return join_on(docs, keep, [id_col], "left_semi").dropDuplicates([id_col])
+    return join_on(docs, keep.hint("merge"), [id_col], "left_semi").dropDuplicates([id_col])  # by shuffle at every size, as the survivors grow with the texts
