@@ -52,5 +52,5 @@ def age_band(c: Column) -> Column:
 def sections(c: Column, first: str, second: str, stop: str) -> Column:
     """Text after the first heading up to the second, and after the second up to `stop`; null without the
     heading."""
-    take = lambda head, end: F.nullif(F.trim(F.regexp_extract(c, rf"(?is){head}(.*?)(?:{end}|$)", 1)), F.lit(""))
+    take = lambda head, end: F.nullif(F.regexp_replace(F.regexp_extract(c, rf"(?is){head}(.*?)(?:{end}|$)", 1), r"^\s+|\s+$", ""), F.lit(""))
     return F.struct(take(first, f"{second}|{stop}").alias("first"), take(second, stop).alias("second"))
