@@ -28,7 +28,7 @@ from goldenloom.llm.common import join_on, table
 SPACE = "▁"
 BLOCK = 64
 #: Units whose paths are sent to every worker: at most so many, about 50 bytes each. All others are joined.
-FREQUENT_UNITS = 150_000
+FREQUENT_UNITS = 100_000
 #: A vocabulary up to this size is broadcast; a larger one is joined as Spark sees fit.
 BROADCAST_PIECES = 1_000_000
 UNKNOWN_PENALTY = 10.0
@@ -127,44 +127,41 @@ def frequent_paths(paths: DataFrame, most: int) -> dict[str, list[int]]:
 
 
 class Coder:
-    """Texts to packed ids with gaps for units that are not in the shared table."""
+    """Texts to packed ids, with a gap for each unit that is not in the table of frequent ones."""
 
-    def __init__(self, model: Pieces, shared: dict[str, list[int]] | None = None):
-        self.model, self.units = model, re.compile(model.unit_pattern())
+    def __init__(self, model: Pieces, packed: dict[str, bytes] | None = None):
+        self.units, self.byte_ids = re.compile(model.unit_pattern()), model.byte_ids
         self.kind = "<u2" if model.size < 0xFFFF else "<u4"
-        self.gap = np.array([0xFFFF if self.kind == "<u2" else 0xFFFFFFFF], self.kind).tobytes()
-        self.packed = {u: self.pack(p) for u, p in (shared or {}).items()}
+        self.hole = 0xFFFF if self.kind == "<u2" else 0xFFFFFFFF
+        self.gap = np.array([self.hole], self.kind).tobytes()
+        self.packed = packed or {}
 
     def pack(self, path: list[int]) -> bytes:
         ids: list[int] = []
         for x in path:
-            ids.extend([x] if x >= 0 else [self.model.byte_ids[b] for b in chr(-1 - x).encode("utf-8", "surrogatepass")])
+            ids.extend([x] if x >= 0 else [self.byte_ids[b] for b in chr(-1 - x).encode("utf-8", "surrogatepass")])
         return np.array(ids, self.kind).tobytes()
 
     def rare(self, text: str | None) -> list[str]:
-        return [u for u in self.units.findall(marked(text)) if u not in self.packed]
+        known = self.packed
+        return [u for u in self.units.findall(marked(text)) if u not in known]
 
     def encode(self, text: str | None) -> bytes:
         get, gap = self.packed.get, self.gap
         return b"".join([get(u, gap) for u in self.units.findall(marked(text))])
 
+    def fill(self, packed: bytes, paths: dict[int, list[int]]) -> np.ndarray:
+        """Ids with the gaps filled by the paths, in their order."""
+        ids = np.frombuffer(packed, self.kind)
+        parts, start = [], 0
+        for k, p in enumerate(np.flatnonzero(ids == self.hole).tolist()):
+            parts += [ids[start:p], np.frombuffer(self.pack(paths[k]), self.kind)]
+            start = p + 1
+        return np.concatenate([*parts, ids[start:]]).astype(np.int32)
 
-_CODERS: dict[int, Coder] = {}
 
-
-def _coder(broadcast) -> Coder:
-    key = broadcast._jid if hasattr(broadcast, "_jid") else id(broadcast.value)
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = Coder(*broadcast.value)
-    return _CODERS[key]
-
-
-def encode(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT_UNITS) -> DataFrame:
-    """(id, text_hash, ids array<int>): one row per input row.
-
-    A null or empty text has no ids. Rows equal in id and text give equal rows; a null id stays null.
-    Other columns are ignored."""
+def _packed(docs: DataFrame, model: Pieces, id_col: str, text_col: str, frequent: int) -> DataFrame:
+    """(id, text_hash, packed, filled): packed ids with gaps, and the paths of the gaps' units."""
     spark, id_type = docs.sparkSession, docs.schema[id_col].dataType
     pattern = model.unit_pattern()
 
@@ -177,7 +174,7 @@ def encode(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col: str
         for b in batches:
             for t in b.column(0):
                 seen.update(find(marked(t.as_py())))
-                if len(seen) > 100_000:
+                if len(seen) > 200_000:
                     yield told()
                     seen.clear()
         yield told()
@@ -185,12 +182,13 @@ def encode(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col: str
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
     units = texts.mapInArrow(count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
     paths = table(lattice(units, model), "unit-paths")
-    shared = spark.sparkContext.broadcast((model, frequent_paths(paths, frequent)))
+    coder = Coder(model)
+    shared = spark.sparkContext.broadcast({u: coder.pack(p) for u, p in frequent_paths(paths, frequent).items()})
     narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
     keys = [T.StructField("id", id_type), T.StructField("text_hash", T.LongType())]
 
     def gaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(shared)
+        coder = Coder(model, shared.value)
         for b in batches:
             of, place, unit = [], [], []
             for k, t in enumerate(b.column(2)):
@@ -202,35 +200,38 @@ def encode(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(place, pa.int32()), pa.array(unit, pa.string())], ["id", "text_hash", "place", "unit"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, squeeze = _coder(shared), zstandard.ZstdCompressor(level=1).compress
+        coder, squeeze = Coder(model, shared.value), zstandard.ZstdCompressor(level=1).compress
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([squeeze(coder.encode(t.as_py())) for t in b.column(2)], pa.binary())], ["id", "text_hash", "packed"])
 
+    rare = narrow.mapInArrow(gaps, T.StructType([*keys, T.StructField("place", T.IntegerType()), T.StructField("unit", T.StringType())]))
+    filled = rare.join(paths.select("unit", "path"), "unit").groupBy("id", "text_hash").agg(F.collect_list(F.struct("place", "path")).alias("filled"))
+    packed = narrow.mapInArrow(pack, T.StructType([*keys, T.StructField("packed", T.BinaryType())]))
+    return join_on(packed, filled, ["id", "text_hash"], "left").select("id", "text_hash", "packed", "filled")
+
+
+def _ids(model: Pieces, b: pa.RecordBatch, coder: Coder) -> Iterator[np.ndarray]:
+    unsqueeze = zstandard.ZstdDecompressor().decompress
+    for packed, filled in zip(b.column(2), b.column(3)):
+        yield coder.fill(unsqueeze(packed.as_py()), {x["place"]: x["path"] for x in filled.as_py() or []})
+
+
+def encode(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT_UNITS) -> DataFrame:
+    """(id, text_hash, ids array<int>): one row per input row.
+
+    A null or empty text has no ids. Rows equal in id and text give equal rows; a null id stays null.
+    Other columns are ignored."""
+
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, unsqueeze = _coder(shared), zstandard.ZstdDecompressor().decompress
-        hole = int.from_bytes(coder.gap, "little")
+        coder = Coder(model)
         for b in batches:
-            rows = []
-            for packed, filled in zip(b.column(2), b.column(3)):
-                ids = np.frombuffer(unsqueeze(packed.as_py()), coder.kind)
-                if filled.is_valid:
-                    given = {x["place"]: x["path"] for x in filled.as_py()}
-                    at = np.flatnonzero(ids == hole)
-                    parts, start = [], 0
-                    for k, p in enumerate(at.tolist()):
-                        parts += [ids[start:p], np.frombuffer(coder.pack(given[k]), coder.kind)]
-                        start = p + 1
-                    ids = np.concatenate([*parts, ids[start:]])
-                rows.append(ids.astype(np.int32))
+            rows = list(_ids(model, b, coder))
             offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
             values = np.concatenate(rows) if rows else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["id", "text_hash", "ids"])
 
-    rare = narrow.mapInArrow(gaps, T.StructType([*keys, T.StructField("place", T.IntegerType()), T.StructField("unit", T.StringType())]))
-    filled = rare.join(paths.select("unit", "path"), "unit").groupBy("id", "text_hash").agg(F.collect_list(F.struct("place", "path")).alias("filled"))
-    packed = narrow.mapInArrow(pack, T.StructType([*keys, T.StructField("packed", T.BinaryType())]))
-    whole = join_on(packed, filled, ["id", "text_hash"], "left").select("id", "text_hash", "packed", "filled")
-    return whole.mapInArrow(fill, T.StructType([*keys, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    whole = _packed(docs, model, id_col, text_col, frequent)
+    return whole.mapInArrow(fill, T.StructType([whole.schema["id"], whole.schema["text_hash"], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 def piece_bytes(model: Pieces) -> list[bytes]:
@@ -258,19 +259,18 @@ def decode(encoded: DataFrame, model: Pieces) -> DataFrame:
     return encoded.select("id", "ids").mapInArrow(run, T.StructType([encoded.schema["id"], T.StructField("text", T.StringType())]))
 
 
-def round_trip(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT_UNITS) -> DataFrame:
     """Per document: id, n_pieces, ids_sha256 (of the ids as little-endian int32), restored (whether decoding
     the ids gives the text; null and empty texts give empty ones, which counts as restored)."""
-    encoded = encode(docs, model, id_col, text_col)
-    made = piece_bytes(model)
-    schema = T.StructType([encoded.schema["id"], T.StructField("n_pieces", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("restored", T.BooleanType())])
+    whole, made = _packed(docs, model, id_col, text_col, frequent), piece_bytes(model)
+    schema = T.StructType([whole.schema["id"], T.StructField("n_pieces", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("restored", T.BooleanType())])
     empty = 42  # Spark's hash of null is the seed itself
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder(model)
         for b in batches:
             n, digests, same = [], [], []
-            for h, x in zip(b.column(1), b.column(2)):
-                ids = x.values.to_numpy(zero_copy_only=False)
+            for h, ids in zip(b.column(1), _ids(model, b, coder)):
                 n.append(len(ids))
                 digests.append(hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest())
                 back = decoded(ids.tolist(), made)
@@ -278,4 +278,4 @@ def round_trip(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col:
                 same.append(hashed == h.as_py() % (1 << 64) or not back and h.as_py() == empty)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.string()), pa.array(same, pa.bool_())], ["id", "n_pieces", "ids_sha256", "restored"])
 
-    return encoded.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return whole.mapInArrow(run, schema).withColumnRenamed("id", id_col)
