@@ -68,4 +68,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (op1_token_counts, op2_pii, op3_sentencepiece, op4_line_dedup, op5_url_filter, op6_simhash, op7_warc, op8_decontaminate, op9_quality, op10_licenses, pipeline)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: For the operators that SQL can express whole; the others are tested against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op7_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT page_id, octet_length(h) AS n, CAST(CAST(unhex(sha1(h)) AS BIT) AS VARCHAR) AS z, min(page_id) OVER (PARTITION BY h) AS f FROM p)
+SELECT page_id, n AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum([CAST(substr(z, 5 * i + j + 1, 1) AS INTEGER) * (16 >> j) FOR j IN range(5)])::BIGINT, 1) FOR i IN range(32)], '') AS payload_digest,
+  CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> f THEN f END AS refers_to FROM d""",
+    "op8_decontaminate": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, w, least(13, len(w)) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)),
+iw AS (SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS g FROM i, unnest(range(1, len(w) - n + 2)) t(k) WHERE n > 0),
+s AS (SELECT DISTINCT n FROM iw),
+dw AS (SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS g FROM d, s, unnest(range(1, len(w) - n + 2)) t(k)),
+h AS (SELECT doc_id, k, n, item_id FROM dw JOIN iw USING (n, g)),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM h) GROUP BY 1),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS x FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM h) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(x, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)""",
+}
