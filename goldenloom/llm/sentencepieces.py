@@ -3,8 +3,8 @@
 Texts fall into units at borders that no piece crosses, so the best path of a text is that of its units
 one after the other. The distinct units' substrings up to the longest piece are exploded and equi-joined
 to the piece table; the edges found are grouped by unit, and a higher-order aggregate folds them to the
-best path (Viterbi). The paths of frequent units travel to the scan in a table of bounded size; those of
-all other units are joined to the texts."""
+best path (Viterbi). The paths of frequent units travel to the scan in a table of bounded size, which packs
+the texts with a gap for each other unit; those units' paths are joined to the texts."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldenloom.llm.common import join_on, table
+from goldenloom.llm.common import table
 
 SPACE = "▁"
 BLOCK = 64
 #: Units whose paths are sent to every worker: at most so many, about 50 bytes each. All others are joined.
-FREQUENT_UNITS = 100_000
+FREQUENT_UNITS = 200_000
 #: A vocabulary up to this size is broadcast; a larger one is joined as Spark sees fit.
 BROADCAST_PIECES = 1_000_000
 UNKNOWN_PENALTY = 10.0
@@ -51,6 +52,11 @@ class Pieces:
     def unknown_score(self) -> float:
         return min(s for *_, s in self.pieces) - UNKNOWN_PENALTY
 
+    @cached_property
+    def pairs(self) -> frozenset[str]:
+        """Characters that stand side by side in a piece."""
+        return frozenset(p[i : i + 2] for p, *_ in self.pieces for i in range(len(p) - 1))
+
     def unit_pattern(self) -> str:
         """Units end where no piece goes on: before a space mark after anything else, between other
         characters and punctuation that no piece has after them, and around characters that stand in no
@@ -80,6 +86,16 @@ def load_pieces(path: str) -> Pieces:
     return Pieces(pieces, tuple(bytes_[f"<0x{b:02X}>"] for b in range(256)), n)
 
 
+def cut(unit: str, pairs: frozenset[str]) -> list[str]:
+    """The unit's parts between characters that no piece has side by side."""
+    parts, start = [], 0
+    for i in range(1, len(unit)):
+        if unit[i - 1 : i + 1] not in pairs:
+            parts.append(unit[start:i])
+            start = i
+    return [*parts, unit[start:]]
+
+
 def marked(text: str | None) -> str:
     return SPACE + text.replace(" ", SPACE) if text else ""
 
@@ -93,21 +109,24 @@ def lattice(units: DataFrame, model: Pieces) -> DataFrame:
     pieces = spark.createDataFrame(list(model.pieces), "piece string, id int, score double")
     pieces = F.broadcast(pieces) if len(model.pieces) <= BROADCAST_PIECES else pieces
     blocks = units.select("unit", "n", F.length("unit").alias("len"), F.explode(F.expr(f"sequence(0, length(unit) - 1, {BLOCK})")).alias("at"))
-    blocks = blocks.select("unit", "n", F.expr("len - at as rest"), "at", F.expr(f"substring(unit, at + 1, {BLOCK + longest - 1}) as block"))
-    starts = blocks.select("unit", "n", "at", "rest", "block", F.explode(F.expr(f"sequence(0, least({BLOCK}, rest) - 1)")).alias("i"))
-    subs = starts.select("unit", "n", F.expr("at + i as s"), "block", "i", F.explode(F.expr(f"sequence(1, least({longest}, rest - i))")).alias("l"))
-    subs = subs.select("unit", "n", "s", F.expr("s + l as e"), "l", F.expr("substring(block, i + 1, l) as p"))
+    blocks = blocks.select("unit", "n", "at", F.expr("len - at as rest"), F.expr(f"substring(unit, at + 1, {BLOCK + longest - 1}) as block"))
+    # One array of a block's substrings: nested explodes would make one method that the JVM compiles at the cost of gigabytes.
+    of_start = f"transform(sequence(1, least({longest}, rest - i)), l -> named_struct('s', at + i, 'e', at + i + l, 'p', substring(block, i + 1, l)))"
+    subs = blocks.select("unit", "n", F.explode(F.expr(f"flatten(transform(sequence(0, least({BLOCK}, rest) - 1), i -> {of_start}))")).alias("x"))
+    subs = subs.select("unit", "n", "x.s", "x.e", "x.p")
     edges = subs.join(pieces, F.col("p") == F.col("piece"), "left")
-    edges = edges.where("id is not null or l = 1").select("unit", "n", "e", "s", F.expr("coalesce(id, -1 - ascii(p)) as id"), F.expr(f"coalesce(score, {model.unknown_score}D) as score"))
-    step = "named_struct('best', concat({best}, array(a.best[x.s] + x.score)), 'back', concat({back}, array(named_struct('s', x.s, 'id', x.id))))"
+    edges = edges.where("id is not null or e = s + 1").select("unit", "n", "e", "s", F.expr("coalesce(id, -1 - ascii(p)) as id"), F.expr(f"coalesce(score, {model.unknown_score}D) as score"))
+    # The last `longest` ends with score and path: no edge starts before them.
+    at, new = "a.w[size(a.w) - 1 - a.n + x.s]", "array(named_struct('b', {at}.b + x.score, 'p', concat({at}.p, array(x.id))))"
+    new = new.format(at=at)
     fold = (
-        "aggregate(edges, named_struct('best', array(0D), 'back', cast(array() as array<struct<s:int,id:int>>)), (a, x) -> "
-        f"case when size(a.best) = x.e then {step.format(best='a.best', back='a.back')} "
-        f"when a.best[x.s] + x.score > a.best[x.e] then {step.format(best='slice(a.best, 1, x.e)', back='slice(a.back, 1, x.e - 1)')} else a end, "
-        "a -> aggregate(sequence(size(a.back), 1, -1), named_struct('at', size(a.back), 'ids', cast(array() as array<int>)), (b, i) -> "
-        "if(i = b.at, named_struct('at', a.back[i - 1].s, 'ids', concat(array(a.back[i - 1].id), b.ids)), b), b -> b.ids))"
+        "aggregate(edges, named_struct('n', 0, 'w', array(named_struct('b', 0D, 'p', cast(array() as array<int>)))), (a, x) -> case "
+        f"when x.e > a.n then named_struct('n', x.e, 'w', concat(if(size(a.w) < {longest}, a.w, slice(a.w, 2, {longest} - 1)), {new})) "
+        f"when {at}.b + x.score > element_at(a.w, -1).b then named_struct('n', a.n, 'w', concat(slice(a.w, 1, size(a.w) - 1), {new})) else a end, "
+        "a -> element_at(a.w, -1).p)"
     )
-    grouped = edges.groupBy("unit").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("e", "s", "id", "score"))).alias("edges"))
+    # The hash leads the sort of the grouping, so that few long strings are compared.
+    grouped = edges.groupBy(F.xxhash64("unit").alias("h"), "unit").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("e", "s", "id", "score"))).alias("edges"))
     return grouped.select("unit", "n", F.expr(fold).alias("path"))
 
 
@@ -130,11 +149,12 @@ class Coder:
     """Texts to packed ids, with a gap for each unit that is not in the table of frequent ones."""
 
     def __init__(self, model: Pieces, packed: dict[str, bytes] | None = None):
-        self.units, self.byte_ids = re.compile(model.unit_pattern()), model.byte_ids
+        self.units, self.pairs, self.byte_ids = re.compile(model.unit_pattern()), model.pairs, model.byte_ids
         self.kind = "<u2" if model.size < 0xFFFF else "<u4"
         self.hole = 0xFFFF if self.kind == "<u2" else 0xFFFFFFFF
         self.gap = np.array([self.hole], self.kind).tobytes()
         self.packed = packed or {}
+        self.met: dict[str, bytes] = {}
 
     def pack(self, path: list[int]) -> bytes:
         ids: list[int] = []
@@ -142,13 +162,26 @@ class Coder:
             ids.extend([x] if x >= 0 else [self.byte_ids[b] for b in chr(-1 - x).encode("utf-8", "surrogatepass")])
         return np.array(ids, self.kind).tobytes()
 
-    def rare(self, text: str | None) -> list[str]:
-        known = self.packed
-        return [u for u in self.units.findall(marked(text)) if u not in known]
-
-    def encode(self, text: str | None) -> bytes:
-        get, gap = self.packed.get, self.gap
-        return b"".join([get(u, gap) for u in self.units.findall(marked(text))])
+    def _put_together(self, unit: str, rare: list[str]) -> bytes:
+        """The unit from its parts. Whole ones are remembered, 50,000 at most at a time."""
+        parts = [(p, self.packed.get(p)) for p in cut(unit, self.pairs)]
+        missing = [p for p, b in parts if b is None]
+        made = b"".join([self.gap if b is None else b for _, b in parts])
+        if missing:
+            rare += missing
+        else:
+            if len(self.met) >= 50_000:
+                self.met.clear()
+            self.met[unit] = made
+        return made
+
+    def encode(self, text: str | None) -> tuple[bytes, list[str]]:
+        """Packed ids, and the units of the gaps in their order."""
+        met, rare, parts = self.met, [], []
+        for m in self.units.findall(marked(text)):
+            known = met.get(m)
+            parts.append(self._put_together(m, rare) if known is None else known)
+        return b"".join(parts), rare
 
     def fill(self, packed: bytes, paths: dict[int, list[int]]) -> np.ndarray:
         """Ids with the gaps filled by the paths, in their order."""
@@ -166,17 +199,21 @@ def _packed(docs: DataFrame, model: Pieces, id_col: str, text_col: str, frequent
     pattern = model.unit_pattern()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, seen = re.compile(pattern).findall, Counter()
+        find, pairs, seen = re.compile(pattern).findall, model.pairs, Counter()
 
         def told() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["unit", "n"])
+            parts: Counter[str] = Counter()
+            for u, n in seen.items():
+                for p in cut(u, pairs):
+                    parts[p] += n
+            seen.clear()
+            return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.string()), pa.array(list(parts.values()), pa.int64())], ["unit", "n"])
 
         for b in batches:
             for t in b.column(0):
                 seen.update(find(marked(t.as_py())))
                 if len(seen) > 200_000:
                     yield told()
-                    seen.clear()
         yield told()
 
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
@@ -185,29 +222,23 @@ def _packed(docs: DataFrame, model: Pieces, id_col: str, text_col: str, frequent
     coder = Coder(model)
     shared = spark.sparkContext.broadcast({u: coder.pack(p) for u, p in frequent_paths(paths, frequent).items()})
     narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
-    keys = [T.StructField("id", id_type), T.StructField("text_hash", T.LongType())]
-
-    def gaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(model, shared.value)
-        for b in batches:
-            of, place, unit = [], [], []
-            for k, t in enumerate(b.column(2)):
-                found = coder.rare(t.as_py())
-                of += [k] * len(found)
-                place += range(len(found))
-                unit += found
-            take = pa.array(of, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(place, pa.int32()), pa.array(unit, pa.string())], ["id", "text_hash", "place", "unit"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, squeeze = Coder(model, shared.value), zstandard.ZstdCompressor(level=1).compress
+        coder, squeeze = Coder(model, shared.value), zstandard.ZstdCompressor(level=3).compress
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([squeeze(coder.encode(t.as_py())) for t in b.column(2)], pa.binary())], ["id", "text_hash", "packed"])
-
-    rare = narrow.mapInArrow(gaps, T.StructType([*keys, T.StructField("place", T.IntegerType()), T.StructField("unit", T.StringType())]))
-    filled = rare.join(paths.select("unit", "path"), "unit").groupBy("id", "text_hash").agg(F.collect_list(F.struct("place", "path")).alias("filled"))
-    packed = narrow.mapInArrow(pack, T.StructType([*keys, T.StructField("packed", T.BinaryType())]))
-    return join_on(packed, filled, ["id", "text_hash"], "left").select("id", "text_hash", "packed", "filled")
+            packed, rare = [], []
+            for t in b.column(2):
+                ids, missing = coder.encode(t.as_py())
+                packed.append(squeeze(ids))
+                rare.append(missing)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(packed, pa.binary()), pa.array(rare, pa.list_(pa.string()))], ["id", "text_hash", "packed", "rare"])
+
+    fields = [T.StructField("id", id_type), T.StructField("text_hash", T.LongType()), T.StructField("packed", T.BinaryType()), T.StructField("rare", T.ArrayType(T.StringType()))]
+    # Written before it is used twice: a row's number must not change when a task runs again.
+    rows = table(narrow.mapInArrow(pack, T.StructType(fields)).withColumn("row", F.monotonically_increasing_id()), "packed-texts")
+    gaps = rows.select("row", F.posexplode("rare").alias("place", "unit"))
+    filled = gaps.join(paths.select("unit", "path"), "unit").groupBy("row").agg(F.collect_list(F.struct("place", "path")).alias("filled"))
+    return rows.drop("rare").join(filled, "row", "left").select("id", "text_hash", "packed", "filled")
 
 
 def _ids(model: Pieces, b: pa.RecordBatch, coder: Coder) -> Iterator[np.ndarray]:
