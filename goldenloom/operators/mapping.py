@@ -54,3 +54,51 @@ def sections(c: Column, first: str, second: str, stop: str) -> Column:
     heading."""
     take = lambda head, end: F.nullif(F.regexp_replace(F.regexp_extract(c, rf"(?is){head}(.*?)(?:{end}|$)", 1), r"^\s+|\s+$", ""), F.lit(""))
     return F.struct(take(first, f"{second}|{stop}").alias("first"), take(second, stop).alias("second"))
+
+
+#: Common English function words.
+STOP_WORDS = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on", "or", "that", "the", "this", "to", "was", "were", "with")
+#: Units and words of a dose that are no part of a drug's name, longest first.
+DOSE_UNITS = ("mg/day/day", "gray/day", "mg/m^2", "mcg/kg", "mg/day", "mg/kg", "mg/ml", "ml/kg", "hours", "weeks", "hour", "week", "mtd", "mcg", "mg", "ml", "ug", "g")
+DOSE_WORDS = ("administered", "matching", "multiple", "single", "weeks", "daily", "days", "dose", "week", "day")
+
+
+def without_stop_words(c: Column, words: tuple[str, ...] = STOP_WORDS, least: int = 30) -> Column:
+    """Special characters go; stop words go from texts of at least `least` characters."""
+    plain = F.regexp_replace(c, r"[=?()\[\]-]", "")
+    kept = F.array_join(F.filter(F.split(plain, r"\s+"), lambda w: ~w.isin(*words)), " ")
+    return F.when(F.length(plain) >= least, kept).otherwise(plain)
+
+
+def clean_drug(c: Column, words: tuple[str, ...] = STOP_WORDS) -> Column:
+    """Doses, frequencies (as whole words, not inside others), punctuation, stop words and bare numbers go."""
+    units = "|".join(u.replace("^", r"\^") for u in DOSE_UNITS)
+    bare = F.regexp_replace(c, rf"(?i)\b[0-9]+ ?(?:{units})\b|\b(?:{'|'.join(DOSE_WORDS)})\b", " ")
+    tokens = F.split(F.trim(F.regexp_replace(bare, r"[^A-Za-z0-9-]+", " ")), " ")
+    return F.array_join(F.filter(tokens, lambda w: ~w.isin(*words) & ~w.rlike("^[0-9-]*$")), " ")
+
+
+def is_combination(c: Column) -> Column:
+    """Names of several drugs: joined by &, and, + or the word combination, or with two commas or more."""
+    return c.rlike(r"&|\+|and|And|AND|combination|Combination|,.*,")
+
+
+def sponsors(c: Column) -> Column:
+    """Each sponsor and each parent or subsidiary in a list: pipes inside braces don't part the list, but the
+    names inside a part are split at /, { and } and at those pipes. Trimmed, distinct, first places."""
+    protected = F.regexp_replace(c, r"\|(?=[^{}]*\})", "^")
+    parts = F.transform(F.split(protected, r"[|/{}^]"), lambda x: F.trim(x))
+    return F.array_distinct(F.filter(parts, lambda x: x != ""))
+
+
+def age_phrase(low: Column, high: Column) -> Column:
+    low, high = F.nullif(low, F.lit("")), F.nullif(high, F.lit(""))
+    both = F.when(low.isNotNull() & high.isNotNull(), F.concat(low, F.lit(" to "), high))
+    return both.when(low.isNotNull(), F.concat(low, F.lit(" and older"))).when(high.isNotNull(), F.concat(F.lit("upto "), high)).otherwise("Child, Adult, Older Adult")
+
+
+def primary_names(df: DataFrame, column: str, synonyms: DataFrame) -> DataFrame:
+    """synonyms(synonym, primary): the primary name in the column's place, matched without case; a name with
+    several primaries takes the least, an unknown one stays."""
+    table = synonyms.groupBy(F.lower("synonym").alias("_key")).agg(F.min("primary").alias("_primary"))
+    return df.join(table, F.lower(column) == F.col("_key"), "left").withColumn(column, F.coalesce("_primary", column)).drop("_key", "_primary")
