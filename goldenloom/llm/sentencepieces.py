@@ -110,7 +110,7 @@ def lattice(units: DataFrame, model: Pieces) -> DataFrame:
     pieces = F.broadcast(pieces) if len(model.pieces) <= BROADCAST_PIECES else pieces
     blocks = units.select("unit", "n", F.length("unit").alias("len"), F.explode(F.expr(f"sequence(0, length(unit) - 1, {BLOCK})")).alias("at"))
     blocks = blocks.select("unit", "n", "at", F.expr("len - at as rest"), F.expr(f"substring(unit, at + 1, {BLOCK + longest - 1}) as block"))
-    # One array of a block's substrings: nested explodes would make one method that the JVM compiles at the cost of gigabytes.
+    # One array of a block's substrings: with nested explodes executors needed gigabytes more, probably to compile the one method.
     of_start = f"transform(sequence(1, least({longest}, rest - i)), l -> named_struct('s', at + i, 'e', at + i + l, 'p', substring(block, i + 1, l)))"
     subs = blocks.select("unit", "n", F.explode(F.expr(f"flatten(transform(sequence(0, least({BLOCK}, rest) - 1), i -> {of_start}))")).alias("x"))
     subs = subs.select("unit", "n", "x.s", "x.e", "x.p")
@@ -193,6 +193,13 @@ class Coder:
         return np.concatenate([*parts, ids[start:]]).astype(np.int32)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """All rows in small batches, so that a worker holds few results at a time."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 def _packed(docs: DataFrame, model: Pieces, id_col: str, text_col: str, frequent: int) -> DataFrame:
     """(id, text_hash, packed, filled): packed ids with gaps, and the paths of the gaps' units."""
     spark, id_type = docs.sparkSession, docs.schema[id_col].dataType
@@ -203,16 +210,16 @@ def _packed(docs: DataFrame, model: Pieces, id_col: str, text_col: str, frequent
 
         def told() -> pa.RecordBatch:
             parts: Counter[str] = Counter()
-            for u, n in seen.items():
+            while seen:
+                u, n = seen.popitem()
                 for p in cut(u, pairs):
                     parts[p] += n
-            seen.clear()
             return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.string()), pa.array(list(parts.values()), pa.int64())], ["unit", "n"])
 
         for b in batches:
             for t in b.column(0):
                 seen.update(find(marked(t.as_py())))
-                if len(seen) > 200_000:
+                if len(seen) > 100_000:
                     yield told()
         yield told()
 
@@ -225,7 +232,7 @@ def _packed(docs: DataFrame, model: Pieces, id_col: str, text_col: str, frequent
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, squeeze = Coder(model, shared.value), zstandard.ZstdCompressor(level=3).compress
-        for b in batches:
+        for b in slices(batches):
             packed, rare = [], []
             for t in b.column(2):
                 ids, missing = coder.encode(t.as_py())
