@@ -19,10 +19,15 @@ CODES = "-abcdefghijklmnopqrstuvwxyzABCD"  # bin 0 is any other word
 SPACE = r"\\x20\\x09-\\x0D"
 CLASSES = ("lower", "upper", "digit", "space", "point", "symbol", "other")
 
-#: A document is rejected if its distance is above these; the guards are the fewest characters and words
-#: for which the distance is looked at.
+#: A document is rejected if its class distance is above the first, or its word distance above the second as a
+#: share of the distance of a text without common words, which is the scale's end (0.32 where a fifth of the
+#: words are common). As few words scatter over the bins, the word distance only counts if common words are
+#: also that many times rarer than in the reference. References with a scale's end under MIN_WORD_SCALE judge
+#: no words. The guards are the fewest characters and words for which a distance is looked at.
 MAX_CLASS_DISTANCE = 0.35
-MAX_WORD_DISTANCE = 0.5
+MAX_WORD_SHARE = 0.8
+TIMES_RARER = 7
+MIN_WORD_SCALE = 0.1
 MIN_CHARS = 200
 MIN_WORDS = 60
 
@@ -103,14 +108,17 @@ def judge(measured: DataFrame, references: DataFrame) -> DataFrame:
     A null text is an empty one: it has no words, fails the base rule and is not kept. Distances are null
     where the text or the reference is empty; then, and under the guards, they reject nothing. Texts of
     a language without a common-word list, or of none, are judged by their character classes alone."""
-    refs = F.broadcast(references.select(F.col("lang").alias("__k"), F.col("ref_classes").alias("__rc"), F.col("ref_bins").alias("__rb")))  # five rows at most
+    no_common = f"array(1{', 0' * (len(CODES) - 1)})"
+    scale = F.expr(f"struct({_distance(no_common, 'ref_bins')} as d, 1 - ref_bins[0] / aggregate(ref_bins, 0D, (s, x) -> s + x) as common)")
+    refs = F.broadcast(references.select(F.col("lang").alias("__k"), F.col("ref_classes").alias("__rc"), F.col("ref_bins").alias("__rb"), scale.alias("__rs")))  # five rows at most
     judged = measured.join(refs, F.col("__f.lang") == F.col("__k"), "left")
     judged = judged.withColumn("__d", F.expr(f"struct({_distance('__f.classes', '__rc')} as c, {_distance('__f.bins', '__rb')} as w)"))
     failed = "(__f.n_words < 50 or 100 * __f.n_repeat_words > 50 * __f.n_words)"
-    far = f"((__f.n_chars >= {MIN_CHARS} and coalesce(__d.c, 0D) > {MAX_CLASS_DISTANCE}D) or (__f.lang <> 'other' and __f.n_words >= {MIN_WORDS} and coalesce(__d.w, 0D) > {MAX_WORD_DISTANCE}D))"
+    few = f"(__rs.d >= {MIN_WORD_SCALE}D and __d.w > {MAX_WORD_SHARE}D * __rs.d and {TIMES_RARER} * (__f.n_words - __f.bins[0]) < __rs.common * __f.n_words)"
+    far = f"((__f.n_chars >= {MIN_CHARS} and coalesce(__d.c, 0D) > {MAX_CLASS_DISTANCE}D) or (__f.lang <> 'other' and __f.n_words >= {MIN_WORDS} and coalesce({few}, false)))"
     fields = [f"__f.{c} as {c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     q = F.expr(f"struct({', '.join(fields)}, __d.c as class_distance, __d.w as word_distance, {failed} as base_failed, not {failed} and not {far} as kept)")
-    return judged.withColumn("__q", q).drop("__f", "__k", "__rc", "__rb", "__d")
+    return judged.withColumn("__q", q).drop("__f", "__k", "__rc", "__rb", "__rs", "__d")
 
 
 def text_of_sql(text_col: str) -> str:
@@ -125,6 +133,6 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The docs that are kept, with their columns (which must not be called __f, __q, __k, __rc, __rb, __d)."""
+    """The docs that are kept, with their columns (which must not be called __f, __q, __k, __rc, __rb, __rs, __d)."""
     measured = table(measure(docs, text_col, lang_col), "quality-measures")
     return judge(measured, language_references(measured)).where("__q.kept").drop("__q")

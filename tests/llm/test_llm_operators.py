@@ -487,6 +487,15 @@ def test_quality_distance(spark):
     assert not kept[900] and all(kept[k] for k in range(200))
 
 
+def test_quality_rejects_long_texts_without_common_words(spark):
+    common, rare = "the of and to in is that it was for".split(), [f"{a}{b}ord" for a in "bcdfglmnprst" for b in "aeiou"]
+    prose = [(k, " ".join(r.choice(common) if r.random() < 0.2 else r.choice(rare) for _ in range(60 + k))) for k in range(200) for r in [random.Random(k)]]
+    words = random.Random(8)
+    table = [(900, "\n".join(" | ".join(words.choice(rare) + words.choice(rare) for _ in range(6)) + "." for _ in range(40))), (901, " ".join(words.choice(rare) for _ in range(120)) + " the of")]
+    got = quality.quality(spark.createDataFrame([(*x, "en") for x in prose + table], "doc_id long, text string, lang string")).collect()
+    assert {r["doc_id"] for r in got if not r["base_failed"] and not r["kept"]} == {900, 901}
+
+
 # 10. Licences
 
 
