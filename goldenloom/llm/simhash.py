@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldenloom.llm.common import join_on, table
+from goldenloom.llm.common import table
 from goldenloom.llm.graph import components
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
@@ -144,7 +144,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def one_of_each(docs: DataFrame, grouped: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """grouped: (id, text_hash, component) of each row of docs, text_hash as xxhash64 gives it. Of each component one
+    row of docs stays, with its columns: that with the smallest id (null last), then text hash."""
+    order = F.struct(F.col("id").isNull(), "id", "text_hash")
+    first = grouped.groupBy("component").agg(F.min_by(F.struct("id", "text_hash"), order).alias("r"), F.count("*").alias("n"))
+    keep = table(first.select(F.col("r.id").alias("__id"), F.col("r.text_hash").alias("__th"), "n"), "survivors")
+    on = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__th"))
+    found = docs.join(keep.select("__id", "__th").hint("merge"), on, "left_semi")  # by shuffle at every size, as the survivors grow with the texts
+    again = grouped.groupBy("id", "text_hash").agg(F.count("*").alias("n")).where("n > 1")
+    if again.isEmpty():
+        return found
+    return found.withColumn("__th", F.xxhash64(text_col)).dropDuplicates([id_col, "__th"]).drop("__th")
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The docs whose id is their component's smallest: one row of each group stays, with its columns."""
-    keep = table(near_duplicates(docs, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col).distinct(), "survivors")
-    return join_on(docs, keep.hint("merge"), [id_col], "left_semi").dropDuplicates([id_col])  # by shuffle at every size, as the survivors grow with the texts
+    """docs less all but one row of each component of near_duplicates(); see one_of_each()."""
+    narrow = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash")).alias("row"), F.col(text_col).alias("text"))
+    prints = table(fingerprints(narrow, "row", "text"), "fingerprints")
+    found = components(links(prints.select("fp").distinct()))
+    grouped = prints.join(found.select(F.col("node").alias("fp"), "component"), "fp", "left")
+    return one_of_each(docs, grouped.select("id.*", F.coalesce("component", "fp").alias("component")), id_col, text_col)

@@ -327,6 +327,14 @@ def test_simhash(docs, rows, empty):
     gone(simhash.near_duplicates(empty))
 
 
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    given = [(1, a, 0), (5, a, 0), (5, b, 0), (None, a, 0), (None, c, 0), (None, "other words", 0), (7, "same row", 0), (7, "same row", 0), (8, "one id", 0), (8, "two texts", 0), (9, None, 0), (None, "", 0)]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(given, "doc_id long, text string, n long")).collect()
+    want = [(1, a, 0), (5, b, 0), (None, c, 0), (None, "other words", 0), (7, "same row", 0), (8, "one id", 0), (8, "two texts", 0), (9, None, 0)]
+    assert sorted(map(tuple, kept), key=key) == sorted(want, key=key)
+
+
 @pytest.mark.parametrize("limit", [1, 3, 64])
 def test_links_miss_no_pair(spark, limit):
     rng = random.Random(6)
