@@ -15,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from goldenloom.llm import decontaminate, graph, licenses, lines, pii, quality, queries, sentencepieces, simhash, tokens, urls, warc
+from goldenloom.llm import decontaminate, graph, licenses, lines, pii, quality, queries, sentencepieces, simhash, similar, tokens, urls, warc
 
 DATA = "/root/testdata/sf0.001"
 P = queries.TOKENIZERS
@@ -327,14 +327,49 @@ def test_simhash(docs, rows, empty):
     gone(simhash.near_duplicates(empty))
 
 
-def test_near_dedup_keeps_one_row_of_each_group(spark):
+@pytest.mark.parametrize("drop", [simhash.drop_near_duplicates, lambda d: similar.drop_similar(d)])
+def test_near_dedup_keeps_one_row_of_each_group(spark, drop):
     a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
     given = [(1, a, 0), (5, a, 0), (5, b, 0), (None, a, 0), (None, c, 0), (None, "other words", 0), (7, "same row", 0), (7, "same row", 0), (8, "one id", 0), (8, "two texts", 0), (9, None, 0), (None, "", 0)]
-    kept = simhash.drop_near_duplicates(spark.createDataFrame(given, "doc_id long, text string, n long")).collect()
+    kept = drop(spark.createDataFrame(given, "doc_id long, text string, n long")).collect()
     want = [(1, a, 0), (5, b, 0), (None, c, 0), (None, "other words", 0), (7, "same row", 0), (8, "one id", 0), (8, "two texts", 0), (9, None, 0)]
     assert sorted(map(tuple, kept), key=key) == sorted(want, key=key)
 
 
+def shingle_set(t, width=5):
+    w = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+    return frozenset(tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))) if w else frozenset()
+
+
+@pytest.mark.parametrize("limit", [1, 64])
+def test_near_dedup_misses_no_similar_pair(spark, docs, limit):
+    rng = random.Random(9)
+    given = [(r["doc_id"], r["text"]) for r in docs.where("doc_id < 9000").collect()]
+    for g in range(12):
+        base = [f"g{g}w{k}" for k in range(rng.choice([12, 50, 300]))]
+        for _ in range(12):
+            words = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 25))):
+                words[rng.randrange(len(words))] = f"x{rng.random()}"
+            given.append((10000 + len(given), " ".join(words) + " with the same last words in each of them"))
+    sets = [shingle_set(t) for _, t in given]
+    alike = [(i, j) for i, j in itertools.combinations(range(len(given)), 2) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    comp = union(range(len(given)), alike)
+    want = sorted({min(given[j][0] for j in comp if comp[j] == c) for c in set(comp.values())})
+    got = similar.drop_similar(spark.createDataFrame(given, "doc_id long, text string"), pair_limit=limit)
+    assert 200 < len(want) + 20 < len(given) and sorted(r["doc_id"] for r in got.collect()) == want
+
+
+def test_pipeline_drops_similar_documents(spark):
+    import corpus_pipeline
+
+    words = [f"w{k}" for k in range(200)]
+    given = [(1, " ".join(words)), (2, " ".join([*words[:100], "new", *words[101:]])), (3, " ".join(words[:100]))]
+    df = spark.createDataFrame(given, "doc_id long, text string")
+    assert (simhash.fingerprint(given[0][1]) ^ simhash.fingerprint(given[1][1])).bit_count() > 2
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df, "").collect()) == [1, 3]
+
+
 @pytest.mark.parametrize("limit", [1, 3, 64])
 def test_links_miss_no_pair(spark, limit):
     rng = random.Random(6)
