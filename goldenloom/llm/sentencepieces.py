@@ -297,23 +297,26 @@ def decode(encoded: DataFrame, model: Pieces) -> DataFrame:
     return encoded.select("id", "ids").mapInArrow(run, T.StructType([encoded.schema["id"], T.StructField("text", T.StringType())]))
 
 
-def round_trip(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT_UNITS) -> DataFrame:
+def round_trip(docs: DataFrame, model: Pieces, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT_UNITS, with_ids: bool = False) -> DataFrame:
     """Per document: id, n_pieces, ids_sha256 (of the ids as little-endian int32), restored (whether decoding
-    the ids gives the text; null and empty texts give empty ones, which counts as restored)."""
+    the ids gives the text; null and empty texts give empty ones, which counts as restored); with_ids: and ids."""
     whole, made = _packed(docs, model, id_col, text_col, frequent), piece_bytes(model)
-    schema = T.StructType([whole.schema["id"], T.StructField("n_pieces", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("restored", T.BooleanType())])
+    schema = T.StructType([whole.schema["id"], T.StructField("n_pieces", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("restored", T.BooleanType()), *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else [])])
     empty = 42  # Spark's hash of null is the seed itself
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(model)
         for b in batches:
-            n, digests, same = [], [], []
+            n, digests, same, kept = [], [], [], []
             for h, ids in zip(b.column(1), _ids(model, b, coder)):
                 n.append(len(ids))
+                if with_ids:
+                    kept.append(ids.astype("<i4"))
                 digests.append(hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest())
                 back = decoded(ids.tolist(), made)
                 hashed = xxhash.xxh64_intdigest(back.encode("utf-8", "surrogatepass"), 42)
                 same.append(hashed == h.as_py() % (1 << 64) or not back and h.as_py() == empty)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.string()), pa.array(same, pa.bool_())], ["id", "n_pieces", "ids_sha256", "restored"])
+            made_ids = [pa.array(kept, pa.list_(pa.int32()))] if with_ids else []
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.string()), pa.array(same, pa.bool_()), *made_ids], schema.names)
 
     return whole.mapInArrow(run, schema).withColumnRenamed("id", id_col)

@@ -189,6 +189,15 @@ def test_pieces_round_trip(docs, rows, model, empty):
     gone(sentencepieces.round_trip(empty, model))
 
 
+def test_pipeline_hands_out_the_encoded_corpus(spark, docs, rows, model):
+    import corpus_pipeline
+
+    got = corpus_pipeline.sentence_pieces(spark, docs, "").collect()
+    made = sentencepieces.piece_bytes(model)
+    assert sorted(((r["doc_id"], sentencepieces.decoded(r["ids"], made)) for r in got), key=key) == sorted(((i, (t or "").replace(sentencepieces.SPACE, " ")) for i, t, _ in rows), key=key)
+    assert all(r["n_pieces"] == len(r["ids"]) and r["ids_sha256"] == hashlib.sha256(np.array(r["ids"], "<i4").tobytes()).hexdigest() for r in got)
+
+
 def test_long_unit_has_the_best_path(spark, model):
     unit = "▁" + "".join(random.Random(3).choices("aeinrstl", k=500))
     found = sentencepieces.lattice(spark.createDataFrame([(unit, 1)], "unit string, n long"), model).first()["path"]
