@@ -3,13 +3,24 @@
 from __future__ import annotations
 
 import re
+import warnings
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Declared format to pattern.
-DATE_PATTERNS = {"yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$", "MM/dd/yyyy": r"^\d{2}/\d{2}/\d{4}$", "dd-MMM-yyyy": r"^\d{2}-[A-Za-z]{3}-\d{4}$", "yyyyMMdd": r"^\d{8}$"}
+# Declared format to pattern; other formats are read as the default one.
+DATE_PATTERNS = {
+    "%Y-%m-%dT%H:%M:%S+0000": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\+\d{4}$",
+    "%Y": r"^\d{4}$",
+    "%Y-%m-%dT%H:%M:%S.%f+0000": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}\+\d{4}$",
+    "MM/DD/YYYY": r"^\d{2}/\d{2}/\d{4}$",
+    "YYYY-MM-DD HH24:MI:SS": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
+    "YYYY-MM-DD": r"^\d{4}-\d{2}-\d{2}$",
+    "%Y-%m-%dT%H:%M:%S.%fZ": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?Z?$",
+}
+DEFAULT_DATE = "MM/DD/YYYY"
+KINDS = ("null", "length", "date", "integer", "decimal", "domain", "unique")
 
 
 @dataclass(frozen=True)
@@ -41,18 +52,35 @@ def _fails(check: Check) -> Column:
         return F.count("*").over(Window.partitionBy(*keys)) > 1
     if check.kind == "domain":
         return c.isNotNull() & ~c.isin(*re.findall(r"'([^']*)'", check.param))
-    pattern = {"integer": r"^-?\d+$", "decimal": r"^-?\d*[.]?\d+$"}.get(check.kind) or (DATE_PATTERNS[check.param] if check.kind == "date" else None)
-    if pattern is None:
-        raise ValueError(f"unknown check {check.kind!r}")
+    pattern = {"integer": r"^-?\d+$", "decimal": r"^-?\d*[.]?\d+$"}.get(check.kind) or DATE_PATTERNS.get(check.param, DATE_PATTERNS[DEFAULT_DATE])
     return c.isNotNull() & ~c.rlike(pattern)
 
 
+def known(checks: list[Check]) -> list[Check]:
+    """The checks of a known kind; others are left out, with a warning that names them."""
+    for k in checks:
+        if k.kind not in KINDS:
+            warnings.warn(f"check {k.qc_id}: kind {k.kind!r} is not known and left out", stacklevel=2)
+    return [k for k in checks if k.kind in KINDS]
+
+
+def _value(check: Check) -> Column:
+    """The checked value; of several columns all, parted by |, with nulls told apart from empty values."""
+    columns = [F.col(k.strip()).cast("string") for k in check.column.split(",")]
+    if len(columns) == 1:
+        return columns[0]
+    return F.concat_ws("|", *(F.coalesce(F.regexp_replace(c, r"([|\\])", r"\\$1"), F.lit("\\N")) for c in columns))
+
+
 def errors(df: DataFrame, row_id: str, checks: list[Check]) -> DataFrame:
-    """(row_id, qc_id, kind, column_name, error_value, criticality), a row per failed check."""
+    """(row_id, qc_id, kind, column_name, error_value, criticality), a row per failed check of a known kind. The
+    value of a check over several columns is the whole key."""
     found = [
-        F.when(F.expr(k.scope) & _fails(k), F.struct(F.lit(k.qc_id).alias("qc_id"), F.lit(k.kind).alias("kind"), F.lit(k.column).alias("column_name"), F.col(k.column.split(",")[-1].strip()).cast("string").alias("error_value"), F.lit(k.criticality).alias("criticality")))
-        for k in checks
+        F.when(F.expr(k.scope) & _fails(k), F.struct(F.lit(k.qc_id).alias("qc_id"), F.lit(k.kind).alias("kind"), F.lit(k.column).alias("column_name"), _value(k).alias("error_value"), F.lit(k.criticality).alias("criticality")))
+        for k in known(checks)
     ]
+    if not found:
+        return df.select(F.col(row_id).alias("row_id"), F.lit(0).alias("qc_id"), *(F.lit("").alias(n) for n in ("kind", "column_name", "error_value", "criticality"))).where("false")
     return df.select(F.col(row_id).alias("row_id"), F.array_compact(F.array(*found)).alias("e")).select("row_id", F.explode("e").alias("e")).select("row_id", "e.*")
 
 
@@ -65,8 +93,8 @@ def summary(df: DataFrame, failed: DataFrame, checks: list[Check]) -> DataFrame:
 
 
 def survivors(failed: DataFrame, unique_id: int) -> DataFrame:
-    """The errors less those of the row that a duplicate group keeps: of its rows without another critical
-    error the one with the highest id."""
+    """The errors less those of the row that a duplicate group keeps: of the rows with its whole key and without
+    another critical error the one with the highest id."""
     other = failed.where((F.col("qc_id") != unique_id) & (F.col("criticality") == "C")).select("row_id").distinct()
     kept = failed.where(F.col("qc_id") == unique_id).join(other, "row_id", "left_anti").groupBy("error_value").agg(F.max("row_id").alias("row_id"))
     return failed.join(kept.select("row_id", F.lit(unique_id).alias("qc_id")), ["row_id", "qc_id"], "left_anti")
@@ -91,3 +119,15 @@ def standardise(df: DataFrame, steps: list[tuple[str, str, str]]) -> DataFrame:
         }[step]()
         df = df.withColumn(column, made if step == "zip" else F.nullif(made, F.lit("")))
     return df
+
+
+def mapping_qc(spark: SparkSession, rules: list[tuple[str, str]], frames: dict[str, DataFrame]) -> DataFrame:
+    """rules: (name, SQL with {frame} names) to (name, sql, problems, status): how many rows each query finds; any
+    is a failure. All queries are one plan."""
+    out = None
+    for name, sql in rules:
+        used = {k: v for k, v in frames.items() if "{" + k + "}" in sql}
+        n = spark.sql(sql, **used).agg(F.count("*").alias("problems"))
+        row = n.select(F.lit(name).alias("name"), F.lit(sql).alias("sql"), "problems", F.when(F.col("problems") > 0, "FAIL").otherwise("PASS").alias("status"))
+        out = row if out is None else out.union(row)
+    return out

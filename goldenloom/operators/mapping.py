@@ -8,6 +8,26 @@ from pyspark.sql import functions as F
 from goldenloom.functions.keys import norm
 
 
+#: The least score that a domain accepts.
+ACCEPTED = {"city": 0.85, "disease": 0.8, "sponsor": 0.67}
+
+
+def gram_text(c: Column) -> Column:
+    """Text as n-grams are made of it: ASCII only, without brackets and dots, & as and, commas and dashes as blanks,
+    words capitalised, single blanks, and one at each end."""
+    plain = F.regexp_replace(F.lower(F.regexp_replace(c, r"[^\x00-\x7F]", "")), r"[().|\[\]{}'=?]", "")
+    spaced = F.regexp_replace(F.replace(plain, F.lit("&"), F.lit("and")), "[,-]", " ")
+    # A letter after anything but a letter is a capital.
+    parts = F.split(spaced, "(?<![a-z])(?=[a-z])")
+    titled = F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1 << 30))), "")
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(titled, " +", " ")), F.lit(" "))
+
+
+def accepted(df: DataFrame, domain: str, score: str = "score") -> DataFrame:
+    """The rows with the domain's least score."""
+    return df.where(F.col(score) >= ACCEPTED[domain])
+
+
 def grams(c: Column, n: int = 3) -> Column:
     """Character n-grams of the normalised value, padded with a blank; repeats stay."""
     padded = F.concat(F.lit(" "), norm(c), F.lit(" "))
@@ -59,7 +79,7 @@ def sections(c: Column, first: str, second: str, stop: str) -> Column:
 #: Common English function words.
 STOP_WORDS = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on", "or", "that", "the", "this", "to", "was", "were", "with")
 #: Units and words of a dose that are no part of a drug's name, longest first.
-DOSE_UNITS = ("mg/day/day", "gray/day", "mg/m^2", "mcg/kg", "mg/day", "mg/kg", "mg/ml", "ml/kg", "hours", "weeks", "hour", "week", "mtd", "mcg", "mg", "ml", "ug", "g")
+DOSE_UNITS = ("gray/day", "mg/m^2", "mcg/kg", "mg/day", "mg/kg", "mg/ml", "ml/kg", "hours", "weeks", "hour", "week", "mtd", "mcg", "mg", "ml", "ug", "g")
 DOSE_WORDS = ("administered", "matching", "multiple", "single", "weeks", "daily", "days", "dose", "week", "day")
 
 

@@ -48,12 +48,47 @@ def largest(parts: dict[str, Column]) -> Column:
 
 
 def decayed(df: DataFrame, keys: list[str], time: str, value: str, out: str, k: float = 0.912) -> DataFrame:
-    """b_i = v_i + b_(i-1) exp(-k (t_i - t_(i-1))), in closed form over offsets from the group's first time, in
-    one window pass. Offsets times k must stay under about 700."""
-    w = Window.partitionBy(*keys)
-    up = F.exp(F.lit(k) * (F.col(time) - F.min(time).over(w)))
-    run = F.sum("_u").over(w.orderBy(time).rowsBetween(Window.unboundedPreceding, 0))
-    return df.withColumn("_e", up).withColumn("_u", F.col(value) * F.col("_e")).withColumn(out, run / F.col("_e")).drop("_e", "_u")
+    """b_i = v_i + b_(i-1) exp(-k (t_i - t_(i-1))) for any span of time. Times fall into blocks short enough for the
+    closed form over offsets from the block's start; a block's last burden is carried into the later ones by a
+    fold over the group's few blocks, so a group is never one window or one row."""
+    length = 300.0 / k
+    block = df.withColumn("_m", F.floor(F.col(time) / F.lit(length)))
+    offset = F.exp(F.lit(k) * (F.col(time) - F.col("_m") * F.lit(length)))
+    ends = block.groupBy(*keys, "_m").agg(F.max(time).alias("t"), F.sum(F.col(value) * offset).alias("s"))
+    ends = ends.withColumn("b", F.col("s") * F.exp(-F.lit(k) * (F.col("t") - F.col("_m") * F.lit(length))))
+    step = f"struct(x.b + a.b * exp(-{k}D * (x.t - coalesce(a.t, x.t))) as b, cast(x.t as double) as t, concat(a.v, array(struct(x.m as m, a.b as b, a.t as t))) as v)"
+    start = "struct(0D as b, cast(null as double) as t, cast(array() as array<struct<m:bigint,b:double,t:double>>) as v)"
+    folded = ends.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("_m").alias("m"), F.col("t").cast("double").alias("t"), "b"))).alias("x"))
+    carried = folded.select(*keys, F.explode(F.expr(f"aggregate(x, {start}, (a, x) -> {step}, a -> a.v)")).alias("c")).select(*keys, F.col("c.m").alias("_m"), F.col("c.b").alias("_b"), F.col("c.t").alias("_t"))
+    w = Window.partitionBy(*keys, "_m").orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
+    local = F.sum(F.col(value) * offset).over(w) / offset
+    carry = F.coalesce(F.col("_b") * F.exp(-F.lit(k) * (F.col(time) - F.col("_t"))), F.lit(0.0))
+    return block.withColumn(out, local).join(carried, [*keys, "_m"]).withColumn(out, F.col(out) + carry).drop("_m", "_b", "_t")
+
+
+def started(initiated: Column, treated: Column, delta: int = 14) -> Column:
+    """The first visit's date, or that of the first treatment less `delta` days."""
+    return F.coalesce(F.to_date(initiated), F.date_sub(F.to_date(treated), delta))
+
+
+def elapsed(initiated: Column, treated: Column, planned_end: Column, today: Column, delta: int = 14) -> Column:
+    """The share of the planned time that is over; null without a start or a planned end, or if the plan has no days."""
+    start = started(initiated, treated, delta)
+    return share(F.datediff(start, today), F.datediff(start, F.to_date(planned_end)))
+
+
+def recruitment_months(status: Column, start: Column, end: Column, today: Column, done: Column, over: Column, ongoing: tuple[str, ...], completed: tuple[str, ...]) -> Column:
+    """From start to end for ongoing and completed sites. An ongoing one without an end counts to today if more
+    than half of its subjects came, or fewer and more than half of the time is over; exactly half gives null."""
+    plain = F.lower(F.trim(status))
+    open_ = end.isNull() & ((done > 0.5) | ((done < 0.5) & (over > 0.5)))
+    return F.when(plain.isin(*ongoing), F.when(open_, months(start, today)).otherwise(months(start, end))).when(plain.isin(*completed), months(start, end))
+
+
+def screen_failures(status: Column, failed: Column, screened: Column, actual_end: Column, ongoing: tuple[str, ...], completed: tuple[str, ...]) -> Column:
+    """failed / screened in percent, for completed sites and for ongoing ones with an actual end date."""
+    plain = F.lower(F.trim(status))
+    return F.when((plain.isin(*ongoing) & actual_end.isNotNull()) | plain.isin(*completed), share(failed, screened) * 100)
 
 
 @dataclass(frozen=True)
@@ -69,3 +104,35 @@ def metrics(source: DataFrame, grain: list[str], rows: list[Metric]) -> DataFram
     """All metrics of one source and grain in a single aggregate: a metric's filter goes into its aggregate, so
     nothing is scanned or joined once a metric."""
     return source.groupBy(*grain).agg(*(F.expr(f"{m.logic} FILTER (WHERE {m.filters})").alias(m.alias) for m in rows))
+
+
+@dataclass(frozen=True)
+class ConfiguredMetric:
+    """A row of a metric configuration: metric `alias` of a grain, from one source. Rows of one alias and
+    several sources are coalesced in their order."""
+
+    grain: tuple[str, ...]
+    alias: str
+    source: str
+    logic: str
+    filters: str = "true"
+
+
+def configured(sources: dict[str, DataFrame], rows: list[ConfiguredMetric]) -> dict[tuple[str, ...], DataFrame]:
+    """By grain, a frame of its keys and all its metrics. Each source is aggregated once a grain; the sources'
+    rows are united and the first value that is not null, in the order of the configuration, is taken by one
+    more aggregate, so that no metric costs a join."""
+    out = {}
+    for grain in dict.fromkeys(r.grain for r in rows):
+        own = [r for r in rows if r.grain == grain]
+        names, parts = list(dict.fromkeys(r.alias for r in own)), []
+        for source in dict.fromkeys(r.source for r in own):
+            of = {r.alias: (own.index(r), r) for r in own if r.source == source}
+            made = metrics(sources[source], list(grain), [Metric(a, r.logic, r.filters) for a, (_, r) in of.items()])
+            value = lambda n: F.struct(F.lit(of[n][0]).alias("at"), F.col(n).cast("double").alias("v")) if n in of else F.lit(None).cast("struct<at:int,v:double>")  # noqa: B023, E731
+            parts.append(made.select(*grain, *(F.when(F.col(n).isNotNull() if n in of else F.lit(False), value(n)).alias(n) for n in names)))
+        united = parts[0]
+        for p in parts[1:]:
+            united = united.unionByName(p)
+        out[grain] = united.groupBy(*grain).agg(*(F.min(n)["v"].alias(n) for n in names))
+    return out

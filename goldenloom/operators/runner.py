@@ -41,6 +41,16 @@ class Lineage:
         return spark.createDataFrame(self.triplets, "subject string, predicate string, object string")
 
 
+def cycle_chain(runs: DataFrame, processes: list[str]) -> DataFrame:
+    """runs(process, cycle, depends) to a column for each process: the cycles of the first one, and for each the
+    cycle that it depends on, through the whole chain; null where one is missing."""
+    of = lambda p: runs.where(F.col("process") == p).select(F.col("cycle").alias(p), F.col("depends").alias(f"_{p}"))
+    out = of(processes[0])
+    for before, p in zip(processes, processes[1:]):
+        out = out.join(of(p), F.col(f"_{before}") == F.col(p), "left")
+    return out.select(*processes)
+
+
 def in_order(rules: Iterable[Rule]) -> list[Rule]:
     """Each rule after those it needs; a circle raises."""
     left, done, out = {r.name: r for r in rules if r.active}, set(), []

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from goldenloom.functions import multi
 from goldenloom.functions.keys import null_if_in, norm
-from goldenloom.operators import windows
+from goldenloom.operators import resolve, windows
 from goldenloom.plans.registry import Tables, query
 from goldenloom.sources import files
 
@@ -29,9 +29,22 @@ def sink_partitioned(t: Tables) -> DataFrame:
     return files.through_partitions(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderpriority").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
 
 
-@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type FROM events")
 def json_extract(t: Tables) -> DataFrame:
-    return t.events.select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    """Written as files of one JSON array over many lines, and read with the schema of one of them."""
+    path = files.scratch(t.spark)
+    event = F.struct("event_id", "event_type", F.from_json("props", "k bigint").alias("props"))
+    arrays = t.events.groupBy(F.floor(c("event_id") / 1000)).agg(F.to_json(F.collect_list(event), {"pretty": "true"}).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    sample = t.spark.read.text(path).select(c("_metadata.file_path").alias("f")).agg(F.min("f")).first()[0]
+    return files.read_json(t.spark, path, sample).select("event_id", c("props.k").alias("k"), "event_type")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O' AND year(o_orderdate) = 1997")
+def scan_run_partition(t: Tables) -> DataFrame:
+    path = files.scratch(t.spark)
+    t.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").cast("string").alias("pt_data_dt"), c("o_orderstatus").alias("pt_cycle_id")).write.partitionBy("pt_data_dt", "pt_cycle_id").parquet(path)
+    return files.read_runs(t.spark, path, pt_data_dt="1997", pt_cycle_id="O").select("o_orderkey", "o_totalprice")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01')")
@@ -40,16 +53,28 @@ def incremental_append(t: Tables) -> DataFrame:
     return files.newer_than(t.orders, loaded, "o_orderkey").select("o_orderkey", "o_totalprice")
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation, 'named' AS kind FROM customer UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR), 'headed' FROM supplier UNION ALL SELECT CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR), 'parquet' FROM nation UNION ALL SELECT CAST(r_regionkey AS VARCHAR), r_name, NULL, 'bare' FROM region")
 def landing_all_string(t: Tables) -> DataFrame:
-    return files.all_string(t.customer.select("c_custkey", "c_name", "c_nationkey"))
-
-
-@query("SELECT c_custkey, CAST(c_acctbal AS INTEGER) IS NOT NULL AS ok, TRY_CAST(c_name AS INTEGER) AS not_a_number FROM customer")
+    """CSV with a header, with given names and with neither, and Parquet, landed as strings."""
+    names, base = ["id", "name", "nation"], files.scratch(t.spark)
+    t.customer.select("c_custkey", "c_name", "c_nationkey").write.csv(f"{base}/a", sep="|")
+    t.supplier.select(c("s_suppkey").alias("id"), c("s_name").alias("name"), c("s_nationkey").alias("nation")).write.csv(f"{base}/b", header=True)
+    t.nation.select(c("n_nationkey").alias("id"), c("n_name").alias("name"), c("n_regionkey").alias("nation")).write.parquet(f"{base}/c")
+    t.region.select("r_regionkey", "r_name").write.csv(f"{base}/d")
+    land = lambda k, **how: files.land(t.spark, f"{base}/{k}", f"{base}/{k}-landed", **how)
+    bare = land("d", header=False).select(c("col1").alias("id"), c("col2").alias("name"), F.lit(None).cast("string").alias("nation"))
+    parts = {"named": land("a", sep="|", header=names), "headed": land("b"), "parquet": land("c", kind="parquet"), "bare": bare}
+    made = [df.select(*names, F.lit(k).alias("kind")) for k, df in parts.items()]
+    return made[0].union(made[1]).union(made[2]).union(made[3])
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_orderdate AS DATE) END AS day, o_totalprice AS price, CASE WHEN o_orderkey % 5 > 0 THEN o_custkey END AS customer FROM orders")
 def schema_convert(t: Tables) -> DataFrame:
-    landed = files.all_string(t.customer.select("c_custkey", "c_acctbal", "c_name"))
-    typed = files.convert(landed, [("c_custkey", "bigint", None), ("c_acctbal", "double", None), ("c_name", "int", None)])
-    return typed.select("c_custkey", c("c_acctbal").isNotNull().alias("ok"), c("c_name").alias("not_a_number"))
+    """Typed from strings: dates of one format among others, numbers among words."""
+    landed = t.orders.select(
+        c("o_orderkey").cast("string").alias("o_orderkey"), F.when(c("o_orderkey") % 3 > 0, F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(F.date_format("o_orderdate", "yyyy.MM")).alias("day"),
+        c("o_totalprice").cast("string").alias("price"), F.when(c("o_orderkey") % 5 > 0, c("o_custkey").cast("string")).otherwise("n/a").alias("customer"))
+    return files.convert(landed, [("o_orderkey", "bigint", None), ("day", "date", "dd/MM/yyyy"), ("price", "double", None), ("customer", "bigint", None)])
 
 
 @query("SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1")
@@ -57,6 +82,19 @@ def count_by_partition(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_returnflag").agg(F.count("*").alias("n"))
 
 
+@query("SELECT t || '.parquet' AS file, n FROM (SELECT 'nation' AS t, count(*) AS n FROM nation UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'region', count(*) FROM region)")
+def count_by_file(t: Tables) -> DataFrame:
+    """Record counts of files; of a table in several part files their sum."""
+    of = lambda n: files.counts_by_file(getattr(t, n)).agg(F.sum("n").alias("n")).select(F.lit(f"{n}.parquet").alias("file"), "n")
+    return of("nation").union(of("orders")).union(of("region"))
+
+
+@query("SELECT p_partkey, p_size, CAST(p_retailprice AS INTEGER) AS p_retailprice FROM (SELECT p_partkey, p_size, trunc(p_retailprice) AS p_retailprice FROM part)")
+def double_to_int(t: Tables) -> DataFrame:
+    camel = t.part.select(c("p_partkey").alias("pPartkey"), c("p_size").alias("pSize"), c("p_retailprice").alias("pRetailprice"))
+    return files.doubles_to_int(camel.toDF(*(files.snake_case(n) for n in camel.columns)))
+
+
 @query("SELECT o_orderkey, string_agg(CAST(l_partkey AS VARCHAR), '|' ORDER BY l_linenumber, l_partkey) AS parts FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1")
 def flatten_nested(t: Tables) -> DataFrame:
     nested = t.lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("lines"))
@@ -181,12 +219,12 @@ def conflict_detect(t: Tables) -> DataFrame:
     return g.where("s > 1 and f = 1").select("l_orderkey")
 
 
-@query("SELECT a.p_partkey AS a, b.p_partkey AS b FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey WHERE levenshtein(a.p_type, b.p_type) <= 0.4 * greatest(length(a.p_type), length(b.p_type))")
+@query("SELECT a.p_partkey AS a, b.p_partkey AS b, round(jaro_similarity(a.p_name, b.p_name), 6) AS score FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey WHERE jaro_similarity(a.p_name, b.p_name) > 0.6")
 def fuzzy_join(t: Tables) -> DataFrame:
-    p = t.part.select("p_partkey", "p_brand", "p_size", "p_type")
+    p = t.part.select("p_partkey", "p_brand", "p_size", "p_name")
     j = p.alias("a").join(p.alias("b"), (c("a.p_brand") == c("b.p_brand")) & (c("a.p_size") == c("b.p_size")) & (c("a.p_partkey") < c("b.p_partkey")))
-    near = F.levenshtein("a.p_type", "b.p_type") <= 0.4 * F.greatest(F.length("a.p_type"), F.length("b.p_type"))
-    return j.where(near).select(c("a.p_partkey").alias("a"), c("b.p_partkey").alias("b"))
+    scored = j.withColumn("score", resolve.jaro(c("a.p_name"), c("b.p_name")))
+    return scored.where("score > 0.6").select(c("a.p_partkey").alias("a"), c("b.p_partkey").alias("b"), F.round("score", 6).alias("score"))
 
 
 @query("SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 1")

@@ -34,16 +34,40 @@ def kpi_pct_randomized(t: Tables) -> DataFrame:
     return _rates(t).select("l_suppkey", F.round(metrics.share(c("returned"), c("shipped") - 5), 6).alias("pct"))
 
 
-@query("SELECT l_suppkey, round(datediff('day', CAST(min(l_shipdate) AS DATE), DATE '2000-01-01') / nullif(datediff('day', CAST(min(l_shipdate) AS DATE), CAST(max(l_shipdate) AS DATE)), 0), 6) AS elapsed FROM lineitem GROUP BY 1")
+TODAY = "1999-06-30"
+ONGOING, COMPLETED = ("o", "ongoing"), ("f", "completed")
+# A customer as a site: dates of the orders by priority stand for its milestones, and orders for its subjects.
+_SITES = (
+    "SELECT o_custkey, min_by(o_orderstatus, (o_orderdate, o_orderkey)) AS status, CAST(min(o_orderdate) FILTER (o_orderpriority = '1-URGENT' AND o_totalprice > 250000) AS DATE) AS initiated, "
+    "CAST(min(o_orderdate) FILTER (o_orderpriority = '2-HIGH') AS DATE) AS treated, CAST(max(o_orderdate) FILTER (o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'F') AS DATE) AS last_treated, "
+    "CAST(max(o_orderdate) FILTER (o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'F' AND o_totalprice > 250000) AS DATE) AS country_end, CAST(max(o_orderdate) AS DATE) AS planned_end, "
+    "count(*) FILTER (o_orderstatus = 'F') AS actual, count(*) FILTER (o_totalprice > 200000) AS planned, count(*) FILTER (o_orderstatus = 'P') AS dropped, count(*) FILTER (o_orderstatus <> 'O') AS screened FROM orders GROUP BY 1"
+).replace("min_by(o_orderstatus, (o_orderdate, o_orderkey))", "(list(o_orderstatus ORDER BY o_orderdate, o_orderkey))[1]")
+_SITES2 = f"SELECT *, coalesce(initiated, treated - 14) AS start, coalesce(last_treated, country_end) AS finish, actual / nullif(planned, 0) AS done FROM ({_SITES})"
+_OVER = f"datediff('day', start, DATE '{TODAY}') / nullif(datediff('day', start, planned_end), 0)"
+
+
+def _sites(t: Tables) -> DataFrame:
+    day = lambda which, rule: which(F.when(F.expr(rule), c("o_orderdate"))).cast("date")
+    s = t.orders.groupBy("o_custkey").agg(
+        F.min_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey")).alias("status"), day(F.min, "o_orderpriority = '1-URGENT' and o_totalprice > 250000").alias("initiated"), day(F.min, "o_orderpriority = '2-HIGH'").alias("treated"),
+        day(F.max, "o_orderpriority = '3-MEDIUM' and o_orderstatus = 'F'").alias("last_treated"), day(F.max, "o_orderpriority = '4-NOT SPECIFIED' and o_orderstatus = 'F' and o_totalprice > 250000").alias("country_end"), F.max("o_orderdate").cast("date").alias("planned_end"),
+        F.count_if(c("o_orderstatus") == "F").alias("actual"), F.count_if(c("o_totalprice") > 200000).alias("planned"), F.count_if(c("o_orderstatus") == "P").alias("dropped"), F.count_if(c("o_orderstatus") != "O").alias("screened"))
+    today = F.lit(TODAY).cast("date")
+    return s.withColumns({
+        "start": metrics.started(c("initiated"), c("treated")), "finish": F.coalesce("last_treated", "country_end"), "done": metrics.share(c("actual"), c("planned")), "today": today,
+        "over": metrics.elapsed(c("initiated"), c("treated"), c("planned_end"), today)})
+
+
+@query(f"SELECT o_custkey, round({_OVER}, 6) AS elapsed FROM ({_SITES2})")
 def kpi_elapsed(t: Tables) -> DataFrame:
-    g = t.lineitem.groupBy("l_suppkey").agg(F.min("l_shipdate").alias("a"), F.max("l_shipdate").alias("z"))
-    return g.select("l_suppkey", F.round(metrics.share(F.datediff(F.lit("2000-01-01"), "a"), F.datediff("z", "a")), 6).alias("elapsed"))
+    return _sites(t).select("o_custkey", F.round("over", 6).alias("elapsed"))
 
 
-@query("SELECT o_custkey, round(datediff('day', CAST(min(o_orderdate) AS DATE), CASE WHEN max(o_orderstatus) = 'F' THEN CAST(max(o_orderdate) AS DATE) ELSE DATE '2000-01-01' END) / 30.4, 6) AS months FROM orders GROUP BY 1")
+@query(f"SELECT o_custkey, status, round(CASE WHEN status = 'O' AND finish IS NULL AND (done > 0.5 OR (done < 0.5 AND {_OVER} > 0.5)) THEN datediff('day', start, DATE '{TODAY}') / 30.4 WHEN status IN ('O', 'F') THEN datediff('day', start, finish) / 30.4 END, 6) AS months FROM ({_SITES2})")
 def kpi_duration(t: Tables) -> DataFrame:
-    g = t.orders.groupBy("o_custkey").agg(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("z"), F.max("o_orderstatus").alias("s"))
-    return g.select("o_custkey", F.round(metrics.months(c("a"), F.when(c("s") == "F", c("z")).otherwise(F.lit("2000-01-01").cast("date"))), 6).alias("months"))
+    made = metrics.recruitment_months(c("status"), c("start"), c("finish"), c("today"), c("done"), c("over"), ONGOING, COMPLETED)
+    return _sites(t).select("o_custkey", "status", F.round(made, 6).alias("months"))
 
 
 @query("WITH g AS (SELECT l_suppkey, count(*) FILTER (l_returnflag = 'A') AS n, datediff('day', CAST(min(l_shipdate) AS DATE), CAST(max(l_shipdate) AS DATE)) / 30.4 AS d FROM lineitem GROUP BY 1) SELECT l_suppkey, round(CASE WHEN n = 0 THEN 0 ELSE n / nullif(d, 0) END, 6) AS rate FROM g")
@@ -59,9 +83,10 @@ def kpi_duration_ir(t: Tables) -> DataFrame:
     return g.select("o_custkey", F.round(metrics.months(F.to_date(F.least("a", "b")), F.to_date("z")), 6).alias("months"))
 
 
-@query(f"SELECT l_suppkey, CASE WHEN l_suppkey % 3 < 2 THEN round(100.0 * returned / nullif(shipped, 0), 6) END AS sfr FROM ({RATES})")
+@query(f"SELECT o_custkey, round(CASE WHEN status = 'F' OR (status = 'O' AND last_treated IS NOT NULL) THEN 100.0 * dropped / nullif(screened, 0) END, 6) AS sfr, round(CASE WHEN status = 'F' OR (status = 'O' AND last_treated IS NOT NULL) THEN 100.0 * (screened - actual) / nullif(screened, 0) END, 6) AS ir_sfr FROM ({_SITES2})")
 def kpi_sfr(t: Tables) -> DataFrame:
-    return _rates(t).select("l_suppkey", F.when(c("l_suppkey") % 3 < 2, F.round(metrics.share(c("returned"), c("shipped")) * 100, 6)).alias("sfr"))
+    failed = lambda n: F.round(metrics.screen_failures(c("status"), n, c("screened"), c("last_treated"), ONGOING, COMPLETED), 6)
+    return _sites(t).select("o_custkey", failed(c("dropped")).alias("sfr"), failed(c("screened") - c("actual")).alias("ir_sfr"))
 
 
 @query("SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 0 WHEN c_acctbal > 5000 THEN 5000 ELSE c_acctbal END AS v FROM customer")
@@ -88,19 +113,35 @@ def entropy_norm(t: Tables) -> DataFrame:
     return _parts(t).where("building + machinery + household > 0").select("c_nationkey", F.round(metrics.entropy([c("building"), c("machinery"), c("household")], 5, 1e-10), 5).alias("h"))
 
 
-@query("WITH RECURSIVE e AS (SELECT l_orderkey, rn, q, d FROM (SELECT l_orderkey, l_quantity AS q, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS rn, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) * 2 AS d FROM lineitem)), b AS (SELECT l_orderkey, rn, q AS burden, d FROM e WHERE rn = 1 UNION ALL SELECT e.l_orderkey, e.rn, e.q + b.burden * exp(-0.912 * (e.d - b.d)), e.d FROM b JOIN e ON e.l_orderkey = b.l_orderkey AND e.rn = b.rn + 1) SELECT l_orderkey, rn, round(burden, 5) AS burden FROM b")
+_VISITS = "SELECT l_suppkey, rn, q, sum(gap) OVER (PARTITION BY l_suppkey ORDER BY rn) AS d FROM (SELECT l_suppkey, l_quantity AS q, row_number() OVER w AS rn, CASE WHEN row_number() OVER w % 11 = 0 THEN 401 ELSE 3 END AS gap FROM lineitem WINDOW w AS (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_quantity))"
+
+
+@query(f"WITH RECURSIVE e AS MATERIALIZED ({_VISITS}), b AS (SELECT l_suppkey, rn, q AS burden, d FROM e WHERE rn = 1 UNION ALL SELECT e.l_suppkey, e.rn, e.q + b.burden * exp(-0.912 * (e.d - b.d)), e.d FROM b JOIN e ON e.l_suppkey = b.l_suppkey AND e.rn = b.rn + 1) SELECT l_suppkey, rn, CAST(d AS BIGINT) AS d, round(burden, 5) AS burden FROM b")
 def decay_recurrence(t: Tables) -> DataFrame:
+    """Visits of a supplier, three days apart and sometimes 401: over thousands of days."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    visits = t.lineitem.select("l_orderkey", "l_quantity", F.row_number().over(w).cast("bigint").alias("rn")).withColumn("d", c("rn") * 2)
-    return metrics.decayed(visits, ["l_orderkey"], "d", "l_quantity", "burden").select("l_orderkey", "rn", F.round("burden", 5).alias("burden"))
+    w = Window.partitionBy("l_suppkey").orderBy("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    visits = t.lineitem.select("l_suppkey", "l_quantity", F.row_number().over(w).cast("bigint").alias("rn"))
+    visits = visits.withColumn("d", F.sum(F.when(c("rn") % 11 == 0, 401).otherwise(3)).over(Window.partitionBy("l_suppkey").orderBy("rn")))
+    return metrics.decayed(visits, ["l_suppkey"], "d", "l_quantity", "burden").select("l_suppkey", "rn", "d", F.round("burden", 5).alias("burden"))
 
 
-@query("SELECT l_suppkey, count(*) FILTER (l_returnflag = 'R') AS returns, round(sum(l_quantity) FILTER (l_linestatus = 'O'), 2) AS open_qty, max(l_tax) AS top_tax FROM lineitem GROUP BY 1")
+CONFIGURED = [
+    metrics.ConfiguredMetric(("nation",), "volume", "shipped", "sum(amount)", "flag = 'R'"), metrics.ConfiguredMetric(("nation",), "volume", "ordered", "sum(amount)"),
+    metrics.ConfiguredMetric(("nation",), "top", "ordered", "max(amount)", "flag = 'F'"), metrics.ConfiguredMetric(("nation", "flag"), "n", "shipped", "count(*)", "amount > 30000"), metrics.ConfiguredMetric(("nation", "flag"), "n", "ordered", "count(*)"),
+]
+_SOURCES = "s AS (SELECT s_nationkey AS nation, l_returnflag AS flag, l_extendedprice AS amount FROM lineitem JOIN supplier ON l_suppkey = s_suppkey), o AS (SELECT c_nationkey AS nation, o_orderstatus AS flag, o_totalprice AS amount FROM orders JOIN customer ON o_custkey = c_custkey)"
+
+
+@query(f"WITH {_SOURCES}, x AS (SELECT nation, sum(amount) FILTER (flag = 'R') AS volume FROM s GROUP BY 1), y AS (SELECT nation, sum(amount) AS volume, max(amount) FILTER (flag = 'F') AS top FROM o GROUP BY 1), z AS (SELECT nation, flag, count(*) FILTER (amount > 30000) AS n FROM s GROUP BY 1, 2), q AS (SELECT nation, flag, count(*) AS n FROM o GROUP BY 1, 2) SELECT nation, NULL AS flag, round(coalesce(x.volume, y.volume), 2) AS volume, top, NULL AS n FROM x FULL JOIN y USING (nation) UNION ALL SELECT nation, flag, NULL, NULL, CAST(coalesce(z.n, q.n) AS DOUBLE) FROM z FULL JOIN q USING (nation, flag)")
 def metric_engine(t: Tables) -> DataFrame:
-    rows = [metrics.Metric("returns", "count(*)", "l_returnflag = 'R'"), metrics.Metric("open_qty", "sum(l_quantity)", "l_linestatus = 'O'"), metrics.Metric("top_tax", "max(l_tax)")]
-    return metrics.metrics(t.lineitem, ["l_suppkey"], rows).withColumn("open_qty", F.round("open_qty", 2))
+    """Configured metrics of two sources at two grains."""
+    shipped = t.lineitem.join(t.supplier, c("l_suppkey") == c("s_suppkey")).select(c("s_nationkey").alias("nation"), c("l_returnflag").alias("flag"), c("l_extendedprice").alias("amount"))
+    ordered = t.orders.join(t.customer, c("o_custkey") == c("c_custkey")).select(c("c_nationkey").alias("nation"), c("o_orderstatus").alias("flag"), c("o_totalprice").alias("amount"))
+    made = metrics.configured({"shipped": shipped, "ordered": ordered}, CONFIGURED)
+    a = made["nation",].select("nation", F.lit(None).cast("string").alias("flag"), F.round("volume", 2).alias("volume"), "top", F.lit(None).cast("double").alias("n"))
+    return a.union(made["nation", "flag"].select("nation", "flag", F.lit(None).cast("double"), F.lit(None).cast("double"), "n"))
 
 
 # Quality checks
@@ -112,7 +153,7 @@ CHECKS = [
 _O = "(SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE 'x' END AS note, count(*) OVER (PARTITION BY o_custkey, o_orderpriority) AS d FROM orders)"
 _ERR = " UNION ALL ".join(
     f"SELECT o_orderkey AS row_id, {k} AS qc_id, {v} AS error_value, '{x}' AS criticality FROM {_O} WHERE {w}"
-    for k, v, x, w in ((1, "note", "C", "note IS NULL"), (2, "o_orderpriority", "NC", "length(o_orderpriority) > 8"), (6, "o_orderstatus", "C", "o_orderstatus NOT IN ('F', 'O')"), (7, "o_orderpriority", "C", "d > 1"), (8, "note", "NC", "note IS NULL AND o_orderstatus = 'P'"))
+    for k, v, x, w in ((1, "note", "C", "note IS NULL"), (2, "o_orderpriority", "NC", "length(o_orderpriority) > 8"), (6, "o_orderstatus", "C", "o_orderstatus NOT IN ('F', 'O')"), (7, "o_custkey || '|' || o_orderpriority", "C", "d > 1"), (8, "note", "NC", "note IS NULL AND o_orderstatus = 'P'"))
 )
 
 
@@ -139,7 +180,7 @@ def dqm_filter(t: Tables) -> DataFrame:
     return checks.passed(_orders(t), "o_orderkey", _errors(t)).select("o_orderkey")
 
 
-@query(f"WITH e AS ({_ERR}), k AS (SELECT error_value, max(row_id) AS row_id FROM e WHERE qc_id = 7 AND row_id NOT IN (SELECT row_id FROM e WHERE qc_id <> 7 AND criticality = 'C') GROUP BY 1) SELECT row_id, qc_id FROM e WHERE NOT (qc_id = 7 AND row_id IN (SELECT row_id FROM k))")
+@query(f"WITH o AS MATERIALIZED {_O}, bad AS (SELECT o_orderkey FROM o WHERE note IS NULL OR o_orderstatus NOT IN ('F', 'O')), k AS (SELECT max(o_orderkey) AS o_orderkey FROM o ANTI JOIN bad USING (o_orderkey) WHERE d > 1 GROUP BY o_custkey, o_orderpriority), e AS ({_ERR}) SELECT row_id, qc_id FROM e WHERE qc_id <> 7 UNION ALL SELECT o_orderkey, 7 FROM (SELECT o_orderkey FROM o WHERE d > 1) ANTI JOIN k USING (o_orderkey)")
 def dqm_unique_survivor(t: Tables) -> DataFrame:
     return checks.survivors(_errors(t), 7).select("row_id", "qc_id")
 
@@ -154,9 +195,18 @@ def _one(name: str, sql: str, check: Check, frame=_orders, row: str = "o_orderke
 
 dqm_null = _one("dqm_null", "SELECT o_orderkey AS row_id FROM orders WHERE o_orderkey % 7 = 0", CHECKS[0])
 dqm_length = _one("dqm_length", "SELECT o_orderkey AS row_id FROM orders WHERE length(o_orderpriority) > 8", CHECKS[1])
-dqm_date = _one("dqm_date", "SELECT o_orderkey AS row_id FROM orders WHERE false", CHECKS[2])
-dqm_integer = _one("dqm_integer", "SELECT o_orderkey AS row_id FROM orders", CHECKS[3])
-dqm_decimal = _one("dqm_decimal", "SELECT p_partkey AS row_id FROM part", Check(5, "decimal", "p_brand"), lambda t: t.part, "p_partkey")
+_MIXED = "SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%m/%d/%Y') WHEN 2 THEN 'x' || strftime(o_orderdate, '%Y-%m-%d') WHEN 3 THEN CAST(o_custkey AS VARCHAR) WHEN 4 THEN CAST(-o_custkey AS VARCHAR) || '.50' END AS v FROM orders"
+
+
+def _mixed(t: Tables) -> DataFrame:
+    made = "case o_orderkey % 6 when 0 then date_format(o_orderdate, 'yyyy-MM-dd') when 1 then date_format(o_orderdate, 'MM/dd/yyyy') when 2 then concat('x', date_format(o_orderdate, 'yyyy-MM-dd')) when 3 then cast(o_custkey as string) when 4 then concat(-o_custkey, '.50') end"
+    return t.orders.select("o_orderkey", F.expr(made).alias("v"))
+
+
+dqm_date = _one("dqm_date", f"SELECT o_orderkey AS row_id FROM ({_MIXED}) WHERE NOT regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')", Check(3, "date", "v", "YYYY-MM-DD"), _mixed)
+dqm_date_default = _one("dqm_date_default", f"SELECT o_orderkey AS row_id FROM ({_MIXED}) WHERE NOT regexp_full_match(v, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}')", Check(3, "date", "v", "another format"), _mixed)
+dqm_integer = _one("dqm_integer", f"SELECT o_orderkey AS row_id FROM ({_MIXED}) WHERE NOT regexp_full_match(v, '-?[0-9]+')", Check(4, "integer", "v"), _mixed)
+dqm_decimal = _one("dqm_decimal", f"SELECT o_orderkey AS row_id FROM ({_MIXED}) WHERE NOT regexp_full_match(v, '-?[0-9]*[.]?[0-9]+')", Check(5, "decimal", "v"), _mixed)
 dqm_domain = _one("dqm_domain", "SELECT o_orderkey AS row_id FROM orders WHERE o_orderstatus NOT IN ('F', 'O')", CHECKS[5])
 dqm_unique = _one("dqm_unique", "SELECT o_orderkey AS row_id FROM orders QUALIFY count(*) OVER (PARTITION BY o_custkey, o_orderpriority) > 1", CHECKS[6])
 
@@ -177,10 +227,18 @@ def qc_threshold_percent(t: Tables) -> DataFrame:
     return v.agg(F.count_if(c("variance") > 10).alias("errors"), F.max("variance").alias("m")).select("errors", F.when(c("m") > 10, "FAIL").otherwise("PASS").alias("status"))
 
 
-@query("SELECT p_partkey, nullif(lpad(upper(trim(p_brand)), 12, '*'), '') AS p_brand, nullif(substr(p_type, 1, 4), '') AS p_type, string_split(p_name, '-')[1] AS p_name FROM part")
+_RAW_ORDERS = "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN '  ' ELSE ' ' || o_orderpriority || ' ' END AS a, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y') WHEN 1 THEN strftime(o_orderdate, '%Y-%m') WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE 'none' END AS d, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE CAST(o_custkey AS VARCHAR) || '-' || o_orderstatus END AS z, o_orderpriority AS p, CAST(o_custkey AS VARCHAR) AS k, o_orderstatus AS s, o_orderpriority AS r FROM orders"
+
+
+@query(f"SELECT o_orderkey, nullif(upper(nullif(trim(a), '')), '') AS a, CASE WHEN length(d) = 4 AND d <> 'none' THEN d || '-01-01' WHEN length(d) = 7 THEN d || '-01' WHEN d <> 'none' THEN d END AS d, string_split(z, '-')[1] AS z, lower(p) AS p, lpad(k, 8, '0') AS k, rpad(s, 4, '*') AS s, nullif(regexp_replace(substr(r, 1, 3), '[0-9]-', '', 'g'), '') AS r FROM ({_RAW_ORDERS})")
 def predqm_chain(t: Tables) -> DataFrame:
-    steps = [("p_brand", "blank", ""), ("p_brand", "trim", ""), ("p_brand", "upper", ""), ("p_brand", "lpad", "12,*"), ("p_type", "substring", "1,4"), ("p_name", "zip", "")]
-    return checks.standardise(t.part.select("p_partkey", "p_brand", "p_type", "p_name"), steps)
+    """All ten steps, in their order."""
+    raw = t.orders.select(
+        "o_orderkey", F.expr("if(o_orderkey % 5 = 0, '  ', concat(' ', o_orderpriority, ' ')) as a"),
+        F.expr("case o_orderkey % 4 when 0 then date_format(o_orderdate, 'yyyy') when 1 then date_format(o_orderdate, 'yyyy-MM') when 2 then date_format(o_orderdate, 'yyyy-MM-dd') else 'none' end as d"),
+        F.expr("if(o_orderkey % 7 = 0, '', concat(o_custkey, '-', o_orderstatus)) as z"), c("o_orderpriority").alias("p"), c("o_custkey").cast("string").alias("k"), c("o_orderstatus").alias("s"), c("o_orderpriority").alias("r"))
+    steps = [("a", "blank", ""), ("a", "trim", ""), ("a", "upper", ""), ("p", "lower", ""), ("d", "date", "yyyy-MM-dd"), ("k", "lpad", "8,0"), ("s", "rpad", "4,*"), ("r", "substring", "1,3"), ("r", "replace", "[0-9]-,"), ("z", "zip", "")]
+    return checks.standardise(raw, steps)
 
 
 @query("SELECT 'null' AS problem, o_orderkey AS grain, count(*) AS n FROM orders WHERE o_orderkey IS NULL GROUP BY 2 UNION ALL SELECT 'duplicate', l_orderkey, count(*) FROM lineitem GROUP BY 2 HAVING count(*) > 5")
@@ -194,6 +252,17 @@ def qc_functional_dependency(t: Tables) -> DataFrame:
     return t.part.groupBy("p_brand").agg(F.count_distinct("p_type").alias("types")).where("types > 1")
 
 
+@query("SELECT 'orphans' AS name, count(*) AS problems, CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT 'several brands', count(*), CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END FROM (SELECT p_type FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) > 1) UNION ALL SELECT 'no name', count(*), CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END FROM nation WHERE n_name IS NULL")
+def mapping_qc(t: Tables) -> DataFrame:
+    """Named validation queries over named tables, each with the count of the rows that it finds."""
+    rules = [
+        ("orphans", "SELECT o_custkey FROM {orders} LEFT ANTI JOIN {customer} ON o_custkey = c_custkey"),
+        ("several brands", "SELECT p_type FROM {part} GROUP BY 1 HAVING count(DISTINCT p_brand) > 1"),
+        ("no name", "SELECT n_nationkey FROM {nation} WHERE n_name IS NULL"),
+    ]
+    return checks.mapping_qc(t.spark, rules, {n: getattr(t, n) for n in ("orders", "customer", "part", "nation")}).drop("sql")
+
+
 # History
 
 
@@ -221,12 +290,6 @@ def cdc_merge(t: Tables) -> DataFrame:
     return history.cdc_merge(base.where("c_custkey % 5 <> 0"), new, ["c_custkey"], ["c_name", "c_mktsegment"]).drop("c_mktsegment")
 
 
-@query("WITH a AS (SELECT c_nationkey, max(c_custkey) AS last_id, count(*) AS n FROM customer GROUP BY 1) SELECT n_nationkey, last_id, coalesce(n, 0) AS n FROM nation LEFT JOIN a ON n_nationkey = c_nationkey")
-def cycle_lineage(t: Tables) -> DataFrame:
-    a = t.customer.groupBy(c("c_nationkey").alias("n_nationkey")).agg(F.max("c_custkey").alias("last_id"), F.count("*").alias("n"))
-    return t.nation.select("n_nationkey").join(a, "n_nationkey", "left").select("n_nationkey", "last_id", F.coalesce("n", F.lit(0)).alias("n"))
-
-
 @query("SELECT year(o_orderdate) AS batch, count(*) FILTER (o_orderstatus = 'F') AS done, count(*) FILTER (o_orderstatus <> 'F') AS pending, dense_rank() OVER (ORDER BY year(o_orderdate) DESC) AS recency FROM orders GROUP BY 1")
 def batch_audit(t: Tables) -> DataFrame:
     from pyspark.sql import Window
@@ -261,9 +324,26 @@ def conform_union(t: Tables) -> DataFrame:
     return one(t.customer, "c", "c_custkey", "c_name").unionByName(one(t.supplier, "s", "s_suppkey", "s_name"))
 
 
-@query("SELECT c_custkey, regexp_replace(c_name, '[^0-9]', '', 'g') AS digits FROM customer WHERE NOT regexp_full_match(c_name, '[0-9]+')")
+_PEOPLE = "SELECT c_custkey, CASE c_custkey % 8 WHEN 0 THEN ' Dr. Ana-' || c_custkey WHEN 1 THEN 'MD' WHEN 2 THEN 'City Hospital' WHEN 3 THEN '12 34' WHEN 4 THEN NULL ELSE ' José  ' || c_mktsegment END AS name, CASE WHEN c_custkey % 5 = 0 THEN 'N/A' ELSE '+1 (' || c_nationkey || ') 555' END AS phone, CASE c_custkey % 3 WHEN 0 THEN 'Ana <A' || c_nationkey || '@x.org>' WHEN 1 THEN 'b' || c_nationkey || '@x.org; c@y.org' ELSE ' ' END AS email FROM customer"
+_CLEAN = f"SELECT c_custkey, CASE WHEN c_custkey % 8 = 0 THEN 'ana ' || c_custkey ELSE 'jose ' || lower(c_mktsegment) END AS name, CASE WHEN phone <> 'N/A' THEN regexp_replace(phone, '[^0-9|]', '', 'g') END AS phone, CASE c_custkey % 3 WHEN 0 THEN lower(regexp_extract(email, '<([^>]*)>', 1)) WHEN 1 THEN replace(email, '; ', '|') END AS email FROM ({_PEOPLE}) JOIN customer USING (c_custkey) WHERE c_custkey % 8 IN (0, 5, 6, 7)"
+
+
+def _people(t: Tables) -> DataFrame:
+    k = c("c_custkey")
+    name = F.when(k % 8 == 0, F.concat(F.lit(" Dr. Ana-"), k)).when(k % 8 == 1, "MD").when(k % 8 == 2, "City Hospital").when(k % 8 == 3, "12 34").when(k % 8 > 4, F.concat(F.lit(" José  "), "c_mktsegment"))
+    phone = F.when(k % 5 == 0, "N/A").otherwise(F.concat(F.lit("+1 ("), "c_nationkey", F.lit(") 555")))
+    email = F.when(k % 3 == 0, F.concat(F.lit("Ana <A"), "c_nationkey", F.lit("@x.org>"))).when(k % 3 == 1, F.concat(F.lit("b"), "c_nationkey", F.lit("@x.org; c@y.org"))).otherwise(" ")
+    return resolve.cleanse_person(t.customer.select("c_custkey", name.alias("name"), phone.alias("phone"), email.alias("email")), "name", "phone", "email")
+
+
+@query(_CLEAN)
 def er_cleanse(t: Tables) -> DataFrame:
-    return t.customer.where(~c("c_name").rlike("^[0-9]+$")).select("c_custkey", F.regexp_replace("c_name", "[^0-9]", "").alias("digits"))
+    return _people(t)
+
+
+@query(f"SELECT string_agg(DISTINCT CAST(c_custkey AS VARCHAR), ';' ORDER BY CAST(c_custkey AS VARCHAR)) AS ids, max(name) AS name, max(phone) AS phone, max(email) AS email FROM ({_CLEAN}) GROUP BY regexp_replace(name, '[^a-z]', '', 'g'), string_split(phone, '|')[1], string_split(email, '|')[1]")
+def person_groups(t: Tables) -> DataFrame:
+    return resolve.content_groups(_people(t).withColumn("ids", c("c_custkey").cast("string")), "name", "phone", "email", ["ids"])
 
 
 @query("SELECT s_suppkey, CASE WHEN count(*) OVER (PARTITION BY floor(s_acctbal / 50)) > 1 THEN 'common_' || CAST(CAST(floor(s_acctbal / 50) AS BIGINT) AS VARCHAR) END AS common_id FROM supplier")
@@ -313,10 +393,10 @@ def rule_split_conflict(t: Tables) -> DataFrame:
     return resolve.split_conflicts(v, "p_brand", "zip").select("p_partkey", "new_cluster")
 
 
-@query("WITH s AS (SELECT p_brand, p_partkey, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_size / 50.0 END AS score FROM part), g AS (SELECT *, coalesce(score < 0.8, true) AS low FROM s) SELECT p_partkey, CASE WHEN low THEN p_brand || '_' || CAST(dense_rank() OVER (PARTITION BY p_brand, low ORDER BY p_partkey) AS VARCHAR) ELSE p_brand END AS gated FROM g")
+@query("WITH s AS (SELECT p_brand, p_partkey, p_partkey // 2 AS uid, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_size / 50.0 END AS score FROM part), g AS (SELECT *, coalesce(score < 0.8, true) AS low FROM s) SELECT p_partkey, CASE WHEN low THEN p_brand || '_' || CAST(dense_rank() OVER (PARTITION BY p_brand, low ORDER BY uid) AS VARCHAR) ELSE p_brand END AS gated, CASE WHEN NOT low THEN score WHEN count(*) OVER (PARTITION BY p_brand, low, uid) > 1 THEN 0.95 END AS new_score FROM g")
 def score_gate(t: Tables) -> DataFrame:
-    s = t.part.select("p_brand", "p_partkey", F.when(c("p_partkey") % 5 != 0, c("p_size") / 50.0).alias("score"))
-    return resolve.score_gate(s, "p_brand", "p_partkey", "score").select("p_partkey", "gated")
+    s = t.part.select("p_brand", "p_partkey", F.expr("p_partkey div 2 as uid"), F.when(c("p_partkey") % 5 != 0, c("p_size") / 50.0).alias("score"))
+    return resolve.score_gate(s, "p_brand", "uid", "score").select("p_partkey", "gated", "new_score")
 
 
 @query("SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY n_name, n_nationkey) = 1")
@@ -358,6 +438,19 @@ def cosine_top1(t: Tables) -> DataFrame:
     return mapping.cosine_top1(queries, e.select(c("vec_id").alias("i"), c("embedding").alias("w"), c("label").alias("block"))).select("q", "i")
 
 
+@query("SELECT p_partkey, ' ' || CASE p_partkey % 3 WHEN 0 THEN 'Zurich And ' || upper(p_name[1]) || lower(substr(split_part(p_name, ' ', 1), 2)) WHEN 1 THEN 'San Jos 12Th' ELSE 'A B C' END || ' ' AS g FROM part")
+def ngram_prep(t: Tables) -> DataFrame:
+    raw = F.when(c("p_partkey") % 3 == 0, F.concat(F.lit("(zurich.)  & "), F.split("p_name", " ")[0])).when(c("p_partkey") % 3 == 1, "SAN JOSÉ, 12TH").otherwise("a-b,[c]?")
+    return t.part.select("p_partkey", mapping.gram_text(raw).alias("g"))
+
+
+@query("SELECT p_partkey, p_size / 50.0 AS score, 'city' AS domain FROM part WHERE p_size / 50.0 >= 0.85 UNION ALL SELECT p_partkey, p_size / 50.0, 'disease' FROM part WHERE p_size / 50.0 >= 0.8 UNION ALL SELECT p_partkey, p_size / 50.0, 'sponsor' FROM part WHERE p_size / 50.0 >= 0.67")
+def acceptance(t: Tables) -> DataFrame:
+    s = t.part.select("p_partkey", (c("p_size") / 50.0).alias("score"))
+    of = lambda d: mapping.accepted(s, d).withColumn("domain", F.lit(d))
+    return of("city").union(of("disease")).union(of("sponsor"))
+
+
 @query("SELECT p_partkey, array_to_string(list_sort(string_split(p_type, ' ')), '|') AS s FROM part")
 def sort_tokens(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", multi.sorted_tokens(F.replace("p_type", F.lit(" "), F.lit(";"))).alias("s"))

@@ -13,8 +13,16 @@ TEMPORAL = ("date", "timestamp")
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the cluster's shared folder; a local one where no such folder is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="goldenloom-")
+    """A new path in the cluster's shared folder, or the context's checkpoint folder; a local one where neither is
+    set, but only on a local master."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        folder = spark.sparkContext._jsc.sc().getCheckpointDir()
+        base = folder.get() if folder.isDefined() else None
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="goldenloom-")
     return f"{base.rstrip('/')}/goldenloom-files/{uuid.uuid4().hex}"
 
 
@@ -34,8 +42,10 @@ def through_partitions(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> None:
-    """One CSV file, all values quoted."""
-    df.coalesce(1).write.mode("overwrite").options(sep=sep, header=header, quoteAll=True).csv(path)
+    """One CSV file, all values quoted. The rows are made in parallel first; a single task only copies them."""
+    made = scratch(df.sparkSession)
+    df.write.parquet(made)
+    df.sparkSession.read.schema(df.schema).parquet(made).coalesce(1).write.mode("overwrite").options(sep=sep, header=header, quoteAll=True).csv(path)
 
 
 def newer_than(source: DataFrame, loaded: DataFrame, column: str) -> DataFrame:
@@ -44,6 +54,39 @@ def newer_than(source: DataFrame, loaded: DataFrame, column: str) -> DataFrame:
     return source.crossJoin(F.broadcast(top)).where(F.col("_top").isNull() | (F.col(column) > F.col("_top"))).drop("_top")  # one row
 
 
+def read_runs(spark: SparkSession, path: str, **run: str) -> DataFrame:
+    """The rows of the given run partitions only (pt_data_dt="...", pt_cycle_id="..."), from partition pruning."""
+    df = spark.read.option("inferSchema", False).parquet(path)
+    for column, value in run.items():
+        df = df.where(F.col(column).cast("string") == value)
+    return df
+
+
+def land(spark: SparkSession, source: str, target: str, kind: str = "csv", sep: str = ",", header: bool | list[str] = True, mb: int = 128) -> DataFrame:
+    """CSV or Parquet landed as Parquet with all columns as strings, in files of about `mb` MB. header: whether the
+    file has one, or the column names of a file without; without either columns are called col1, col2 and so on."""
+    if kind == "parquet":
+        df = spark.read.parquet(source)
+    else:
+        df = spark.read.options(sep=sep, header=header is True, escape='"', multiLine=True, inferSchema=False).csv(source)
+        if header is not True:
+            df = df.toDF(*(header or [f"col{k + 1}" for k in range(len(df.columns))]))
+    path = spark._jvm.org.apache.hadoop.fs.Path(source)
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    all_string(df).repartition(max(1, -(-size // (mb << 20)))).write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)
+
+
+def counts_by_file(df: DataFrame) -> DataFrame:
+    """(file, n) for the rows of a file source."""
+    return df.groupBy(F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)$", 1).alias("file")).agg(F.count("*").alias("n"))
+
+
+def doubles_to_int(df: DataFrame) -> DataFrame:
+    """Every double column as int, by the schema; values that don't fit are null."""
+    return df.select(*(F.col(f"`{n}`").try_cast("int").alias(n) if kind == "double" else F.col(f"`{n}`") for n, kind in df.dtypes))
+
+
 def all_string(df: DataFrame) -> DataFrame:
     return df.select(*(F.col(c).cast("string").alias(c) for c in df.columns))
 
