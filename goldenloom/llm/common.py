@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,13 +10,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until df has no such column (case aside)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests), a new local one."""
+    """The folder in spark.checkpoint.dir, or the context's checkpoint folder; where both are unset, a new local
+    one, but only on a local master: on a cluster each executor would write to its own disk."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = jdir.get() if jdir.isDefined() else None
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="goldenloom-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")

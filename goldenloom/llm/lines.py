@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldenloom.llm.common import table
+from goldenloom.llm.common import fresh, table
 
 MIN_WORDS = 50
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -96,19 +96,21 @@ def without(text: str, runs: list[dict]) -> tuple[str, int]:
     return "\n".join(keep), len(lines) - len(keep)
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, count_col: str = "n_deleted_lines") -> DataFrame:
     """The docs, their columns unchanged but for the text, without later repeated runs of lines that have
-    `min_words` words or more, and n_deleted_lines (long), which replaces a column of that name.
+    `min_words` words or more, and count_col (long), the number of lines that went, which replaces a column of
+    that name. Columns of any other name stay. An empty table gives an empty one.
 
     Lines are equal if their words are (white space aside). The first place of a run, by id (null last)
     and then by text, keeps it; later ones lose it, also within a document. Rows equal in id and text
     are one document: all keep or lose the same lines. Null and wordless texts stay as they are."""
     runs = table(repeated_runs(docs, id_col, text_col, min_words), "line-runs")
-    columns = [c for c in docs.columns if c != "n_deleted_lines"]
-    kept = docs.select(*columns)
-    on = kept[id_col].eqNullSafe(runs["id"]) & F.xxhash64(kept[text_col]).eqNullSafe(runs["text_hash"])
+    columns = [c for c in docs.columns if c != count_col]
+    names = fresh(docs, "other_id", "other_hash", "runs")
+    right = runs.toDF(*names)
+    on = F.col(id_col).eqNullSafe(F.col(names[0])) & F.xxhash64(text_col).eqNullSafe(F.col(names[1]))
     # Always by shuffle, as the runs grow with the texts.
-    marked = kept.join(runs.hint("merge"), on, "left").select(*(kept[c] for c in columns), runs["runs"].alias("__runs"))
+    marked = docs.select(*columns).join(right.hint("merge"), on, "left").select(*columns, names[2])
     at = columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +121,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 texts.append(text)
                 gone.append(n)
             arrays = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(len(columns))]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(gone, pa.int64())], [*columns, "n_deleted_lines"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(gone, pa.int64())], [*columns, count_col])
 
-    schema = T.StructType([*(docs.schema[c] for c in columns), T.StructField("n_deleted_lines", T.LongType())])
+    schema = T.StructType([*(docs.schema[c] for c in columns), T.StructField(count_col, T.LongType())])
     return marked.mapInArrow(cut, schema)

@@ -126,13 +126,17 @@ def text_of_sql(text_col: str) -> str:
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per input row: id and the fields of judge(). Other columns are ignored. Texts are read once."""
+    """One row per input row, repeated ones too: id and the fields of judge(). Other columns are ignored; an empty
+    table gives an empty one. Texts are read once."""
     narrow = docs.select(F.col(id_col).alias("__id"), text_col, *([lang_col] if lang_col in docs.columns else []))
     measured = table(measure(narrow, text_col, lang_col).select("__id", "__f"), "quality-measures")
     return judge(measured, language_references(measured)).select(F.col("__id").alias(id_col), "__q.*")
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The docs that are kept, with their columns (which must not be called __f, __q, __k, __rc, __rb, __rs, __d)."""
-    measured = table(measure(docs, text_col, lang_col), "quality-measures")
-    return judge(measured, language_references(measured)).where("__q.kept").drop("__q")
+    """The docs that are kept, with their columns, of any names. Null and empty texts go; repeated rows are judged
+    alike; without a language column only character classes are compared; an empty table gives an empty one."""
+    language = [F.col(lang_col)] if lang_col in docs.columns else []
+    whole = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text_col).alias("text"), *(c.alias("lang") for c in language))
+    measured = table(measure(whole, "text", "lang").select("__row", "__f"), "quality-measures")
+    return judge(measured, language_references(measured)).where("__q.kept").select("__row.*")

@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -193,14 +194,29 @@ def test_pipeline_hands_out_the_encoded_corpus(spark, docs, rows, model):
     import corpus_pipeline
 
     got = corpus_pipeline.sentence_pieces(spark, docs, "").collect()
-    made = sentencepieces.piece_bytes(model)
-    assert sorted(((r["doc_id"], sentencepieces.decoded(r["ids"], made)) for r in got), key=key) == sorted(((i, (t or "").replace(sentencepieces.SPACE, " ")) for i, t, _ in rows), key=key)
+    made = sentencepieces.Decoder(model)
+    assert sorted(((r["doc_id"], made(np.array(r["ids"], np.int64)).decode()) for r in got), key=key) == sorted(((i, (t or "").replace(sentencepieces.SPACE, " ")) for i, t, _ in rows), key=key)
     assert all(r["n_pieces"] == len(r["ids"]) and r["ids_sha256"] == hashlib.sha256(np.array(r["ids"], "<i4").tobytes()).hexdigest() for r in got)
 
 
-def test_long_unit_has_the_best_path(spark, model):
-    unit = "▁" + "".join(random.Random(3).choices("aeinrstl", k=500))
-    found = sentencepieces.lattice(spark.createDataFrame([(unit, 1)], "unit string, n long"), model).first()["path"]
+def test_texts_are_cut_where_no_piece_goes_over(rows, model):
+    texts = [t for _, t, _ in rows]
+    units = sentencepieces.Cutter(model.pairs)(texts)
+    names = units.named(np.arange(len(units.starts)))
+    hashes = {}
+    for t, a, z in zip(texts, units.edges, units.edges[1:]):
+        whole = sentencepieces.SPACE + t.replace(" ", sentencepieces.SPACE) if t else ""
+        want = re.sub("(?s)(.)(?=(.))", lambda m: m[1] if m[1] + m[2] in model.pairs else m[1] + "\0", whole).split("\0") if whole else []
+        assert names[a:z] == want
+        for u, h in zip(want, zip(units.first[a:z].tolist(), units.second[a:z].tolist())):
+            assert hashes.setdefault(u, h) == h
+    assert len(set(hashes.values())) == len(hashes)
+
+
+@pytest.mark.parametrize("length", [40, 500, 20_000])
+def test_unit_of_any_length_has_the_best_path(spark, model, length):
+    unit = "▁" + "".join(random.Random(3).choices("aeinrstl", k=length))
+    found = sentencepieces.lattice(spark.createDataFrame([(unit, 1, len(unit))], "unit string, n long, len int"), model).collect()[0]["path"]
     score = {p: s for p, _, s in model.pieces}
     name = {i: p for p, i, _ in model.pieces}
     best = [0.0] + [-math.inf] * len(unit)
@@ -294,6 +310,43 @@ def test_mined_rules_on_held_out_urls(spark):
     assert all((got[k] == "block") == truth(u) for k, u in enumerate(some[2000:]))
 
 
+def tokens_of(u):
+    host, _, rest = u.partition("://")[2].partition("/")
+    path, _, query = rest.partition("?")
+    digits = lambda x: re.sub("[0-9]+", "#", x)
+    keys = {"q:" + k.partition("=")[0] for k in query.split("&") if k}
+    return frozenset({"h:" + x for x in digits(host).split(".")} | {"p:" + x for x in digits(path).split("/") if x} | keys | {"s:" + u.partition("://")[0]})
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_mined_rules_against_all_combinations(spark, seed):
+    rng = random.Random(seed)
+    word = lambda: rng.choice("abcde")
+    some = [f"http://{word()}.{word()}.org/{word()}/{word()}" + rng.choice(["", "?q=1", "?r=2&q=3"]) for _ in range(90)]
+    bad = [("h:a" in tokens_of(u) and "p:b" in tokens_of(u)) or rng.random() < 0.15 for u in some]
+    labelled, pages, need, least = list(zip(some, bad)), [f"http://{word()}.{word()}.org/{word()}/{word()}" for _ in range(60)], 3, 0.6
+    counts = {}
+    for u, b in labelled:
+        for n in range(1, len(tokens_of(u)) + 1):
+            for c in itertools.combinations(sorted(tokens_of(u)), n):
+                k = counts.setdefault(c, [0, 0])
+                k[0], k[1] = k[0] + 1, k[1] + b
+    rules = {c for c, (n, m) in counts.items() if m >= need and m >= least * n}
+    want = {u: any(set(c) <= tokens_of(u) for c in rules) for u in pages}
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, url string")
+    got = urls.judge_urls(df, spark.createDataFrame(labelled, "url string, bad boolean"), rules=(), min_support=0.0, min_confidence=least, min_count=need).collect()
+    assert {pages[r["page_id"]]: r["verdict"] == "block" for r in got} == want and len(set(want.values())) == 2
+
+
+def test_urls_with_many_shared_parts_are_mined_fast(spark):
+    deep = "/".join(f"part{chr(97 + k)}" for k in range(25))
+    labelled = spark.createDataFrame([(f"http://x.org/{deep}/{k}", k % 2 == 0) for k in range(80)] + [(f"http://y.org/{deep}/z{k}", True) for k in range(40)], "url string, bad boolean")
+    classes, rules = urls.mine_rules(labelled)
+    assert rules.count() <= 10
+    pages = spark.createDataFrame([(1, f"http://y.org/{deep}/q"), (2, "https://z.com/a")], "page_id long, url string")
+    assert {r["page_id"]: r["verdict"] for r in urls.judge_urls(pages, labelled).collect()} == {1: "block", 2: "allow"}
+
+
 # 6. SimHash
 
 
@@ -501,6 +554,15 @@ def test_decontamination(spark, docs, rows, empty):
     assert decontaminate.overlaps(docs, bench.where("false")).where("contaminated").count() == 0
 
 
+def test_repeated_words_take_no_square_of_pairs(spark):
+    given = [(1, "word " * 20000), (2, "other " + "word " * 12), (3, "a b " * 4000)]
+    items = [(7, "word " * 1000), (8, "b a " * 500)]
+    start = time.time()
+    got = decontaminate.overlaps(spark.createDataFrame(given, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert time.time() - start < 60
+    assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"]) for r in got} == {1: (20000, 20000, 1), 2: (13, 0, 0), 3: (8000, 8000, 1)}
+
+
 def test_join_decides_without_the_scan_filter(docs, spark, monkeypatch):
     bench = spark.read.parquet(f"{DATA}/benchmark.parquet")
     want = sorted(map(tuple, decontaminate.overlaps(docs, bench).collect()), key=key)
@@ -573,3 +635,39 @@ def test_license_templates(spark):
     got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.license_scan(df).collect()}
     assert {i: got[i][0] for i, *_ in given} == {i: x for i, _, x in given}
     assert got[1][1] == 1.0 and got[3][1] == 0.0 and 0 < got[2][1] < 1
+
+
+# Stages of the pipeline on odd rows
+
+
+def test_stages_keep_columns_of_any_name(spark, docs):
+    import corpus_pipeline
+
+    names = ("n_deleted_lines", "__runs", "__f", "__q", "__k", "__d", "__rc", "other_id", "other_hash", "runs")
+    clash = docs.withColumns({c: F.lit("x") for c in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, clash, DATA)
+        assert made.columns == clash.columns, name
+        assert made.where("n_deleted_lines <> 'x' or __runs <> 'x' or __q <> 'x'").count() == 0, name
+        plain = stage(spark, docs, DATA)
+        assert sorted((r[0] is None, r[0], r[1] or "") for r in made.select("doc_id", "text").collect()) == sorted((r[0] is None, r[0], r[1] or "") for r in plain.select("doc_id", "text").collect()), name
+
+
+def test_stages_on_empty_and_odd_tables(spark, docs):
+    import corpus_pipeline
+
+    none = docs.where("false")
+    odd = spark.createDataFrame([(None, None), (None, None), (1, ""), (1, ""), (2, None), (None, "one two")], "doc_id long, text string")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, DATA).count() == 0, name
+        left = stage(spark, odd, DATA)
+        # No text has the words that the quality rules ask for; wordless ones are one group, and one text is of its own.
+        assert left.count() == {"quality rules": 0, "simhash near-dedup": 2}.get(name, 6), name
+
+
+def test_warc_ids_of_any_kind(spark):
+    given = [("a>\r\nb", "<p>1</p>"), ("", "<p>2</p>"), (None, "<p>3</p>"), ("ü %41 +", "<p>1</p>"), ("x", None), ("x", None)]
+    pages = spark.createDataFrame([(i, "http://a.b/", h) for i, h in given], "page_id string, url string, html string")
+    got = warc.archive_and_read(pages).collect()
+    assert sorted((r["page_id"] is None, r["page_id"]) for r in got) == sorted((i is None, i) for i, _ in given)
+    assert {r["page_id"]: r["refers_to"] for r in got if r["record_type"] == "revisit"} == {"ü %41 +": "a>\r\nb"}
