@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldenloom.llm.common import table
+from goldenloom.llm.common import fresh, table
 
 WINDOW = 13
 GRAM = 5
@@ -94,21 +94,23 @@ def test_fingerprints(items: DataFrame) -> DataFrame:
     return items.select("item", "text").mapInArrow(run, "h long, item long, ipos long, length long")
 
 
-def _extended(doc: list[bytes], item: list[bytes], seeds: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Spans of doc equal to a span of item around a seed, of at least the item's window."""
-    least, done, spans = min(WINDOW, len(item)), {}, []
-    for pos, ipos in sorted(seeds):
-        if pos < done.get(pos - ipos, 0):
-            continue
-        a, i = pos, ipos
-        while a > 0 and i > 0 and doc[a - 1] == item[i - 1]:
-            a, i = a - 1, i - 1
-        z, j = pos, ipos
-        while z < len(doc) and j < len(item) and doc[z] == item[j]:
-            z, j = z + 1, j + 1
-        done[pos - ipos] = max(z, pos + 1)
-        if z - a >= least:
-            spans.append((a, z))
+def _extended(doc: np.ndarray, item: np.ndarray, seeds: list[tuple[list[int], list[int]]]) -> list[tuple[int, int]]:
+    """Spans of doc equal to a span of item, of at least the item's window, on the diagonals of the seeds: each seed is a
+    k-gram's places in doc and in item. A diagonal is compared in both directions at once, and once only, however
+    many seeds it has; so repeated words cost the sum of both lengths times the item's, and no list of pairs."""
+    least, near = min(WINDOW, len(item)), np.zeros(len(doc) + len(item), bool)
+    for places, others in seeds:
+        at, to = (places, others) if len(places) >= len(others) else (others, places)
+        at = np.array(at)
+        for x in to:
+            near[(at - x if to is others else x - at) + len(item)] = True
+    spans = []
+    for d in (np.flatnonzero(near) - len(item)).tolist():
+        low, high = max(0, d), min(len(doc), len(item) + d)
+        edge = np.diff(np.concatenate([[0], (doc[low:high] == item[low - d : high - d]).astype(np.int8), [0]]))
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        long = ends - starts >= least
+        spans += zip((starts[long] + low).tolist(), (ends[long] + low).tolist())
     return spans
 
 
@@ -132,9 +134,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
         found = [r[0] for r in tests.select("h").distinct().collect()]
         known = spark.sparkContext.broadcast(np.sort(np.array(found, np.int64)))
     id_type = docs.schema[id_col].dataType
-    seeds = T.ArrayType(T.StructType([T.StructField("h", T.LongType()), T.StructField("pos", T.LongType())]))
+    seeds = T.ArrayType(T.StructType([T.StructField("h", T.LongType()), T.StructField("pos", T.ArrayType(T.LongType()))]))
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("id", id_type), T.StructField("text_hash", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("text", T.StringType()), T.StructField("seeds", seeds)])
-    kind = pa.list_(pa.struct([("h", pa.int64()), ("pos", pa.int64())]))
+    kind = pa.list_(pa.struct([("h", pa.int64()), ("pos", pa.list_(pa.int64()))]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
@@ -143,25 +145,28 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
             for t in b.column(2):
                 text = t.as_py()
                 hashes = word_hashes(text)
-                kept = []
+                kept = defaultdict(list)
                 for length in lengths:
                     h, at = fingerprints(hashes, length)
                     if known is not None and len(h):
                         hit = np.searchsorted(known.value, h)
                         hit = known.value[np.minimum(hit, len(known.value) - 1)] == h
                         h, at = h[hit], at[hit]
-                    kept += [{"h": x, "pos": y} for x, y in zip(h.tolist(), at.tolist())]
+                    for x, y in zip(h.tolist(), at.tolist()):
+                        kept[x].append(y)
                 counts.append(len(hashes))
                 texts.append(text if kept else None)
-                found.append(kept)
+                found.append([{"h": x, "pos": y} for x, y in kept.items()])
             rows = pa.array(range(row, row + len(counts)), pa.int64())
             row += len(counts)
             yield pa.RecordBatch.from_arrays([rows, b.column(0), b.column(1), pa.array(counts, pa.int64()), pa.array(texts, pa.string()), pa.array(found, kind)], ["row", "id", "text_hash", "n_words", "text", "seeds"])
 
     narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
     scanned = table(narrow.mapInArrow(scan, schema), "scanned")
+    # A k-gram's places in an item are one row, and those in a document too: no two lists are multiplied by the join.
+    places = tests.groupBy("h", "item").agg(F.collect_list("ipos").alias("ipos"))
     hits = (
-        scanned.select("row", F.explode("seeds").alias("seed")).select("row", "seed.h", "seed.pos").join(tests, "h")
+        scanned.select("row", F.explode("seeds").alias("seed")).select("row", "seed.h", "seed.pos").join(places, "h")
         .groupBy("row", "item").agg(F.collect_list(F.struct("pos", "ipos")).alias("at"))
         .join(items, "item").groupBy("row").agg(F.collect_list(F.struct("item_id", F.col("text").alias("item_text"), "at")).alias("hits"))
     )
@@ -170,13 +175,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
         for b in batches:
             n_hit, n_items, digests = [], [], []
             for t, hits in zip(b.column(3), b.column(4)):
-                doc, names = words(t.as_py()), set()
+                doc, names, number = words(t.as_py()), set(), {}
+                codes = np.array([number.setdefault(w, len(number)) for w in doc], np.int64)
                 mark = np.zeros(len(doc), bool)
                 together = defaultdict(list)
                 for hit in hits.as_py() or []:
                     together[hit["item_id"], hit["item_text"]] += [(x["pos"], x["ipos"]) for x in hit["at"]]
                 for (name, item_text), at in together.items():
-                    for a, z in _extended(doc, words(item_text), at):
+                    item = np.array([number.get(w, -1) for w in words(item_text)], np.int64)
+                    for a, z in _extended(codes, item, at):
                         mark[a:z] = True
                         names.add(name)
                 names.discard(None)
@@ -193,7 +200,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The docs that are not contaminated, with their columns."""
+    """The docs that are not contaminated, with their columns, of any names. Null and wordless texts stay; repeated
+    rows are judged alike; an empty table gives an empty one."""
     bad = table(overlaps(docs, benchmark, id_col, text_col).where("contaminated").select(id_col, "text_hash").distinct(), "contaminated")
-    on = docs[id_col].eqNullSafe(bad[id_col]) & F.xxhash64(docs[text_col]).eqNullSafe(bad["text_hash"])
-    return docs.join(bad, on, "left_anti")
+    names = fresh(docs, "other_id", "other_hash")
+    on = F.col(id_col).eqNullSafe(F.col(names[0])) & F.xxhash64(text_col).eqNullSafe(F.col(names[1]))
+    return docs.join(bad.toDF(*names), on, "left_anti")
