@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from goldenloom.llm.common import new_path, table
 
 RECORD = "urn:page:"
+NO_ID = "<urn:no-page>"
 #: Pages of about 4 KB make archives of about 16 MB; the reader holds one archive at a time.
 RECORDS_PER_ARCHIVE = 4000
 DATE = "2024-01-01T00:00:00Z"
@@ -50,7 +51,8 @@ def record_text(crlf: str = "\r\n") -> Column:
     revisit = F.col("refers_to").isNotNull()
     http = lines(F.lit("HTTP/1.1 200 OK"), F.lit("Content-Type: text/html; charset=utf-8"), F.concat(F.lit("Content-Length: "), F.col("bytes").cast("string")))
     block = F.concat(http, F.lit(crlf * 2), F.when(revisit, "").otherwise(F.col("payload")))
-    name = lambda c: F.concat(F.lit(f"<{RECORD}"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
+    # Any id fits into a header line: as in a url. A null one has a name of its own.
+    name = lambda c: F.coalesce(F.concat(F.lit(f"<{RECORD}"), F.url_encode(F.col(c).cast("string")), F.lit(">")), F.lit(NO_ID))
     head = lines(
         F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")), F.concat(F.lit("WARC-Record-ID: "), name("id")),
         F.lit(f"WARC-Date: {DATE}"), F.concat(F.lit("WARC-Target-URI: "), clean),
@@ -159,10 +161,15 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
 
 def archive_and_read(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", min_bytes: int = 0) -> DataFrame:
     """Writes the pages to archives in the shared folder, reads these back, and returns per page: id,
-    payload_bytes, payload_digest, record_type, refers_to."""
+    payload_bytes, payload_digest, record_type, refers_to.
+
+    Every page comes back, or the query fails: a gap in an archive just written is an error. Ids may hold any
+    characters, be empty or null. Null payloads are empty; repeated rows give repeated rows; an empty table gives an
+    empty one; other columns are ignored."""
     spark, kind = pages.sparkSession, dict(pages.dtypes)[id_col]
     path = new_path(spark, "warc")
     write_warc(pages, path, id_col, html_col, min_bytes)
-    page = lambda c: F.nullif(F.regexp_extract(c, f"^<{RECORD}(.*)>$", 1), F.lit("")).cast(kind)
-    return read_warc(spark, path, payloads=False).where("kind = 'record'").select(
+    page = lambda c: F.when(F.col(c).startswith(f"<{RECORD}"), F.url_decode(F.regexp_extract(c, f"^<{RECORD}(.*)>$", 1))).cast(kind)
+    whole = F.when(F.col("kind") == "gap", F.raise_error(F.concat(F.lit("bytes can't be read in "), "archive"))).otherwise(F.lit(True))
+    return read_warc(spark, path, payloads=False).where(whole).select(
         page("record_id").alias(id_col), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), page("refers_to").alias("refers_to"))
