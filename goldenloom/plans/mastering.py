@@ -60,9 +60,9 @@ def renumber_clusters(t: Tables) -> DataFrame:
     return curation.one_cluster_per_source(members(t), "cluster_id", "hash_uid", "score", "new_id").select("hash_uid", "cluster_id", "new_id")
 
 
-@query(f"{M}, o AS (SELECT concat('h', o_custkey % 800) AS hash_uid, max_by(o_orderkey, (o_orderkey)) AS k, arg_max(o_orderstatus, o_orderkey) AS s FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1) SELECT uid, coalesce(k, cluster_id) AS cluster_id, coalesce(s, last_name) AS last_name FROM m LEFT JOIN o USING (hash_uid)")
+@query(f"{M}, o AS (SELECT concat('h', o_custkey % 800) AS hash_uid, max_by(o_orderkey, (o_orderkey)) AS k, arg_max(o_orderstatus, o_orderkey) AS s FROM orders WHERE o_totalprice > 300000 GROUP BY 1) SELECT uid, coalesce(k, cluster_id) AS cluster_id, coalesce(s, last_name) AS last_name FROM m LEFT JOIN o USING (hash_uid)")
 def km_override(t: Tables) -> DataFrame:
-    curated = t.orders.where("o_custkey % 3 = 0").select(F.expr("concat('h', o_custkey % 800)").alias("hash_uid"), "o_orderkey", c("o_orderkey").alias("cluster_id"), c("o_orderstatus").alias("last_name"))
+    curated = t.orders.where("o_totalprice > 300000").select(F.expr("concat('h', o_custkey % 800)").alias("hash_uid"), "o_orderkey", c("o_orderkey").alias("cluster_id"), c("o_orderstatus").alias("last_name"))
     return curation.override(members(t), curated, "hash_uid", "o_orderkey", ["cluster_id", "last_name"]).select("uid", "cluster_id", "last_name")
 
 

@@ -266,10 +266,11 @@ def mapping_qc(t: Tables) -> DataFrame:
 # History
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey % 2 = 0 UNION SELECT c_custkey, 'old' FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 2 <> 0")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0 UNION ALL SELECT DISTINCT o_custkey, 'old' FROM orders ANTI JOIN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey")
 def scd1_stitch(t: Tables) -> DataFrame:
-    current = t.customer.where("c_custkey % 2 = 0").select("c_custkey", "c_name")
-    return history.scd1_stitch(current, t.customer.where("c_custkey % 3 = 0").select("c_custkey", F.lit("old").alias("c_name")), ["c_custkey"])
+    """Customers in credit are current; all who ever ordered are history."""
+    current = t.customer.where("c_acctbal > 0").select("c_custkey", "c_name")
+    return history.scd1_stitch(current, t.orders.select(c("o_custkey").alias("c_custkey")).distinct().withColumn("c_name", F.lit("old")), ["c_custkey"])
 
 
 @query("SELECT event_id, coalesce(lead(ts) OVER w, TIMESTAMP '9999-12-31 00:00:00') AS end_ts, CASE WHEN lead(ts) OVER w IS NULL THEN 'Y' ELSE 'N' END AS active_flag FROM (SELECT user_id, ts, min(event_id) AS event_id FROM events GROUP BY 1, 2) WINDOW w AS (PARTITION BY user_id ORDER BY ts)")
@@ -283,11 +284,13 @@ def delete_ids(t: Tables) -> DataFrame:
     return history.delete_ids(t.customer.select("c_custkey"), t.orders.select(c("o_custkey").alias("c_custkey")), "c_custkey")
 
 
-@query("WITH o AS (SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey % 5 <> 0), n AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'new name' ELSE c_name END AS c_name, c_mktsegment FROM customer WHERE c_custkey % 7 <> 0) SELECT c_custkey, CASE WHEN n.c_name IS NULL THEN o.c_name ELSE n.c_name END AS c_name, CASE WHEN o.c_name IS NULL THEN 'new' WHEN n.c_name IS NULL THEN 'gone' WHEN o.c_name = n.c_name THEN 'unchanged' ELSE 'updated' END AS change, CASE WHEN n.c_name IS NULL THEN 'N' ELSE 'Y' END AS active FROM o FULL JOIN n USING (c_custkey)")
+@query("WITH o AS (SELECT c_custkey, c_name FROM customer), n AS (SELECT c_custkey, CASE WHEN c_acctbal > 5000 THEN 'new name' ELSE c_name END AS c_name FROM customer WHERE c_mktsegment <> 'BUILDING' UNION ALL SELECT s_suppkey + 1000000000, s_name FROM supplier) SELECT c_custkey, CASE WHEN n.c_name IS NULL THEN o.c_name ELSE n.c_name END AS c_name, CASE WHEN o.c_name IS NULL THEN 'new' WHEN n.c_name IS NULL THEN 'gone' WHEN o.c_name = n.c_name THEN 'unchanged' ELSE 'updated' END AS change, CASE WHEN n.c_name IS NULL THEN 'N' ELSE 'Y' END AS active FROM o FULL JOIN n USING (c_custkey)")
 def cdc_merge(t: Tables) -> DataFrame:
+    """The customers as they were, and as they are: a segment has gone, suppliers are new, the rich are renamed."""
     base = t.customer.select("c_custkey", "c_name", "c_mktsegment")
-    new = base.where("c_custkey % 7 <> 0").withColumn("c_name", F.when(c("c_custkey") % 4 == 0, "new name").otherwise(c("c_name")))
-    return history.cdc_merge(base.where("c_custkey % 5 <> 0"), new, ["c_custkey"], ["c_name", "c_mktsegment"]).drop("c_mktsegment")
+    new = t.customer.where("c_mktsegment <> 'BUILDING'").select("c_custkey", F.when(c("c_acctbal") > 5000, "new name").otherwise(c("c_name")).alias("c_name"), "c_mktsegment")
+    new = new.union(t.supplier.select(c("s_suppkey") + 1000000000, "s_name", F.lit("NEW")))
+    return history.cdc_merge(base, new, ["c_custkey"], ["c_name", "c_mktsegment"]).drop("c_mktsegment")
 
 
 @query("SELECT year(o_orderdate) AS batch, count(*) FILTER (o_orderstatus = 'F') AS done, count(*) FILTER (o_orderstatus <> 'F') AS pending, dense_rank() OVER (ORDER BY year(o_orderdate) DESC) AS recency FROM orders GROUP BY 1")

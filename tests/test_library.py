@@ -1,5 +1,7 @@
 """Micro-fixtures with results worked out by hand."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,3 +101,53 @@ def test_files(spark, tmp_path):
 def test_ordered_ids_are_dense(spark):
     df = spark.createDataFrame([("c",), ("a",), ("b",), ("a",)], "v string")
     assert got(windows.ordered_ids(df, "v", "n")) == [("a", 1), ("a", 1), ("b", 2), ("c", 3)]
+
+
+def plain_jaro(a, b):
+    if not a and not b:
+        return 1.0
+    reach, used, met = max(0, max(len(a), len(b)) // 2 - 1), [], []
+    for i, x in enumerate(a):
+        j = next((j for j in range(max(0, i - reach), min(len(b), i + reach + 1)) if b[j] == x and j not in used), None)
+        if j is not None:
+            used.append(j)
+            met.append(i)
+    k = len(met)
+    moved = sum(a[i] != b[j] for i, j in zip(met, sorted(used))) // 2
+    return (k / len(a) + k / len(b) + (k - moved) / k) / 3 if k else 0.0
+
+
+def test_name_scores(spark):
+    pairs = [("martha", "marhta"), ("dwayne", "duane"), ("", ""), ("a", ""), ("abc", "xyz"), ("dixon", "dicksonx"), ("aab", "aba")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    assert [round(r[0], 9) for r in df.select(resolve.jaro(F.col("a"), F.col("b"))).collect()] == [round(plain_jaro(a, b), 9) for a, b in pairs]
+    row = spark.range(1).select(
+        resolve.jaro(F.lit(None).cast("string"), F.lit("a")), resolve.token_set(F.lit("Main Street 5"), F.lit("5, main street, Rome")), resolve.token_set(F.lit("a b"), F.lit("c d")) < 0.7,
+        resolve.name_score(F.lit("Ana Maria Sol"), F.lit("sol, ana maria")), resolve.address_score(F.lit("Long Lane 3"), F.lit("long lane 7 b"))).first()
+    assert tuple(row) == (None, 1.0, True, 0.95, 1.0)
+
+
+def test_unique_check_keeps_one_row_of_each_whole_key(spark):
+    df = spark.createDataFrame([(1, "A", "x"), (2, "A", "x"), (3, "B", "x"), (4, "B", "x"), (5, None, "x"), (6, None, "x"), (7, "", "x")], "id int, a string, b string")
+    found = checks.errors(df, "id", [checks.Check(1, "unique", "a,b", criticality="C")])
+    assert sorted(r["row_id"] for r in checks.survivors(found, 1).collect()) == [1, 3, 5]
+    with pytest.warns(UserWarning, match="Referential"):
+        assert checks.errors(df, "id", [checks.Check(2, "Referential Integrity", "a")]).count() == 0
+
+
+def test_decay_over_thousands_of_days(spark):
+    rows, want, b, before = [], [], 0.0, None
+    for k, (t, v) in enumerate([(0, 1.0), (1, 2.0), (400, 0.0), (401, 3.0), (800, 1.0), (801, 1.0), (2500, 5.0), (2500.5, 0.0)]):
+        b = v + (b * math.exp(-0.912 * (t - before)) if before is not None else 0.0)
+        before = t
+        rows.append((1, float(t), v))
+        want.append(b)
+    made = metrics.decayed(spark.createDataFrame(rows, "k int, t double, v double"), ["k"], "t", "v", "b").orderBy("t").collect()
+    assert all(math.isclose(r["b"], w, rel_tol=1e-9, abs_tol=1e-12) for r, w in zip(made, want))
+
+
+def test_recruitment_counts_to_today_only_where_told(spark):
+    given = [("Ongoing", None, 0.6, 0.1), ("ongoing", None, 0.4, 0.6), ("ongoing", None, 0.5, 0.9), ("ongoing", None, 0.4, 0.4), ("ongoing", "2020-03-01", 0.4, 0.4), ("completed", None, 0.9, 0.9), ("completed", "2020-03-01", None, None), ("planned", "2020-03-01", 0.9, 0.9)]
+    df = spark.createDataFrame(given, "s string, z string, p double, e double").withColumn("z", F.to_date("z"))
+    made = metrics.recruitment_months(F.col("s"), F.lit("2020-01-01").cast("date"), F.col("z"), F.lit("2020-01-31").cast("date"), F.col("p"), F.col("e"), ("ongoing",), ("completed",))
+    assert [None if r[0] is None else round(r[0] * 30.4) for r in df.select(made).collect()] == [30, 30, None, None, 60, None, 60, None]
