@@ -49,11 +49,11 @@ class Pieces:
     byte_ids: tuple[int, ...]
     size: int
 
-    @property
+    @cached_property
     def longest(self) -> int:
         return max(len(p) for p, *_ in self.pieces)
 
-    @property
+    @cached_property
     def unknown_score(self) -> float:
         return min(s for *_, s in self.pieces) - UNKNOWN_PENALTY
 
