@@ -131,8 +131,9 @@ def test_unique_check_keeps_one_row_of_each_whole_key(spark):
     df = spark.createDataFrame([(1, "A", "x"), (2, "A", "x"), (3, "B", "x"), (4, "B", "x"), (5, None, "x"), (6, None, "x"), (7, "", "x")], "id int, a string, b string")
     found = checks.errors(df, "id", [checks.Check(1, "unique", "a,b", criticality="C")])
     assert sorted(r["row_id"] for r in checks.survivors(found, 1).collect()) == [1, 3, 5]
-    with pytest.warns(UserWarning, match="Referential"):
-        assert checks.errors(df, "id", [checks.Check(2, "Referential Integrity", "a")]).count() == 0
+    with pytest.raises(ValueError):
+        checks.errors(df, "id", [checks.Check(2, "Referential Integrity", "a")])
+    assert checks.errors(df, "id", []).count() == 0
 
 
 def test_decay_over_thousands_of_days(spark):
