@@ -33,7 +33,7 @@ def path_of(url: Column) -> Column:
 
 def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     """The longest fitting rule as struct(rule, verdict); null if none fits."""
-    found = F.lit(None)
+    found = F.lit(None).cast("struct<rule:string,verdict:string>")
     for verdict, h, p in sorted(rules, key=lambda r: len(r[1]) + len(r[2])):
         fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
         found = F.when(fits, F.struct(F.lit(h + p).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(found)
