@@ -25,7 +25,7 @@ def test_sql(spark, name):
 
 def test_all_are_registered():
     names = __spark_entry__.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
 def test_pipeline_over_the_smallest_tables(spark):
