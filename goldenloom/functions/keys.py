@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLANKS = ("", "null", "na", "n/a")
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with the value worked out once, however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def norm(c: Column | str) -> Column:
     """The default key equality: trimmed and lower-cased."""
     return F.lower(F.trim(F.col(c) if isinstance(c, str) else c))
@@ -47,3 +54,12 @@ def replace_words(c: Column, words: dict[str, str]) -> Column:
 def initials(c: Column) -> Column:
     """First letters of the words of a name."""
     return F.array_join(F.transform(F.filter(F.split(F.trim(c), r"\s+"), lambda w: w != ""), lambda w: F.upper(F.substring(w, 1, 1))), "")
+
+
+def join_same(left: DataFrame, right: DataFrame, names: list[str], how: str) -> DataFrame:
+    """Null-safe join on columns of the same names; the left ones stay."""
+    other = right.withColumnsRenamed({n: f"_right_{n}" for n in names})
+    on = F.lit(True)
+    for n in names:
+        on = on & F.col(n).eqNullSafe(F.col(f"_right_{n}"))
+    return left.join(other, on, how).drop(*(f"_right_{n}" for n in names))

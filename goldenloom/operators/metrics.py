@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from goldenloom.functions.keys import join_same
+
 DAYS_PER_MONTH = 30.4
 
 
@@ -50,20 +52,21 @@ def largest(parts: dict[str, Column]) -> Column:
 def decayed(df: DataFrame, keys: list[str], time: str, value: str, out: str, k: float = 0.912) -> DataFrame:
     """b_i = v_i + b_(i-1) exp(-k (t_i - t_(i-1))) for any span of time. Times fall into blocks short enough for the
     closed form over offsets from the block's start; a block's last burden is carried into the later ones by a
-    fold over the group's few blocks, so a group is never one window or one row."""
+    fold over the group's few blocks, so a group is never one window or one row. Rows of equal times each have the burden
+    of all of them; a row without a time has none and adds none; a null value adds nothing; null keys are a group."""
     length = 300.0 / k
     block = df.withColumn("_m", F.floor(F.col(time) / F.lit(length)))
     offset = F.exp(F.lit(k) * (F.col(time) - F.col("_m") * F.lit(length)))
-    ends = block.groupBy(*keys, "_m").agg(F.max(time).alias("t"), F.sum(F.col(value) * offset).alias("s"))
+    ends = block.where("_m is not null").groupBy(*keys, "_m").agg(F.max(time).alias("t"), F.coalesce(F.sum(F.col(value) * offset), F.lit(0.0)).alias("s"))
     ends = ends.withColumn("b", F.col("s") * F.exp(-F.lit(k) * (F.col("t") - F.col("_m") * F.lit(length))))
     step = f"struct(x.b + a.b * exp(-{k}D * (x.t - coalesce(a.t, x.t))) as b, cast(x.t as double) as t, concat(a.v, array(struct(x.m as m, a.b as b, a.t as t))) as v)"
     start = "struct(0D as b, cast(null as double) as t, cast(array() as array<struct<m:bigint,b:double,t:double>>) as v)"
     folded = ends.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("_m").alias("m"), F.col("t").cast("double").alias("t"), "b"))).alias("x"))
     carried = folded.select(*keys, F.explode(F.expr(f"aggregate(x, {start}, (a, x) -> {step}, a -> a.v)")).alias("c")).select(*keys, F.col("c.m").alias("_m"), F.col("c.b").alias("_b"), F.col("c.t").alias("_t"))
-    w = Window.partitionBy(*keys, "_m").orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
-    local = F.sum(F.col(value) * offset).over(w) / offset
+    w = Window.partitionBy(*keys, "_m").orderBy(time)  # up to the last row of an equal time
+    local = F.coalesce(F.sum(F.col(value) * offset).over(w), F.lit(0.0)) / offset
     carry = F.coalesce(F.col("_b") * F.exp(-F.lit(k) * (F.col(time) - F.col("_t"))), F.lit(0.0))
-    return block.withColumn(out, local).join(carried, [*keys, "_m"]).withColumn(out, F.col(out) + carry).drop("_m", "_b", "_t")
+    return join_same(block.withColumn(out, local), carried, [*keys, "_m"], "left").withColumn(out, F.when(F.col("_m").isNotNull(), F.col(out) + carry)).drop("_m", "_b", "_t")
 
 
 def started(initiated: Column, treated: Column, delta: int = 14) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from goldenloom.functions import multi
 from goldenloom.functions.keys import null_if_in, norm
-from goldenloom.operators import resolve, windows
+from goldenloom.operators import resolve, similarity, windows
 from goldenloom.plans.registry import Tables, query
 from goldenloom.sources import files
 
@@ -210,7 +210,7 @@ def cross_scalar(t: Tables) -> DataFrame:
 @query("SELECT a.s_suppkey AS a, b.s_suppkey AS b FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND floor(a.s_acctbal / 100) = floor(b.s_acctbal / 100) WHERE a.s_suppkey < b.s_suppkey")
 def self_join_theta(t: Tables) -> DataFrame:
     s = t.supplier.select("s_suppkey", "s_nationkey", F.floor(c("s_acctbal") / 100).alias("band"))
-    return s.withColumnRenamed("s_suppkey", "a").join(s.withColumnRenamed("s_suppkey", "b"), ["s_nationkey", "band"]).where("a < b").select("a", "b")
+    return similarity.tiled(s, "s_suppkey", ["s_nationkey", "band"]).select(c("left").alias("a"), c("right").alias("b"))
 
 
 @query("SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) > 1 AND count(DISTINCT l_returnflag) = 1")
@@ -221,10 +221,8 @@ def conflict_detect(t: Tables) -> DataFrame:
 
 @query("SELECT a.p_partkey AS a, b.p_partkey AS b, round(jaro_similarity(a.p_name, b.p_name), 6) AS score FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey WHERE jaro_similarity(a.p_name, b.p_name) > 0.6")
 def fuzzy_join(t: Tables) -> DataFrame:
-    p = t.part.select("p_partkey", "p_brand", "p_size", "p_name")
-    j = p.alias("a").join(p.alias("b"), (c("a.p_brand") == c("b.p_brand")) & (c("a.p_size") == c("b.p_size")) & (c("a.p_partkey") < c("b.p_partkey")))
-    scored = j.withColumn("score", resolve.jaro(c("a.p_name"), c("b.p_name")))
-    return scored.where("score > 0.6").select(c("a.p_partkey").alias("a"), c("b.p_partkey").alias("b"), F.round("score", 6).alias("score"))
+    found = similarity.fuzzy_pairs(t.part, "p_partkey", "p_name", ["p_brand", "p_size"], 0.6)
+    return found.select(c("left").alias("a"), c("right").alias("b"), F.round("score", 6).alias("score"))
 
 
 @query("SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 1")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldenloom.functions import keys, multi
-from goldenloom.operators import checks, history, mapping, metrics, resolve, windows
+from goldenloom.operators import checks, history, mapping, metrics, resolve, similarity, windows
 from goldenloom.operators.checks import Check
 from goldenloom.plans.registry import Tables, query
 from goldenloom.sources import files
@@ -370,7 +370,7 @@ _PAIRS = "SELECT a.p_partkey AS l, b.p_partkey AS r, a.p_type AS ta, b.p_type AS
 
 @query(f"SELECT l AS \"left\", r AS \"right\" FROM ({_PAIRS})")
 def block_pairs(t: Tables) -> DataFrame:
-    return resolve.block_pairs(t.part, "p_partkey", "p_brand", "p_size")
+    return similarity.tiled(t.part, "p_partkey", ["p_brand", "p_size"]).select("left", "right")
 
 
 def _scored(t: Tables) -> DataFrame:

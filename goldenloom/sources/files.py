@@ -26,6 +26,14 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/goldenloom-files/{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read again: what is drawn anew by each run (borders of ranges, row numbers)
+    is fixed from here on, and lost executors cost nothing."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def through_csv(df: DataFrame, sep: str = "|") -> DataFrame:
     """Written as CSV with a header and read with the same schema."""
     path = scratch(df.sparkSession)
