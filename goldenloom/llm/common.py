@@ -21,6 +21,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def named(*names: str) -> list[Column]:
+    """Columns of exactly these names, dots and all."""
+    return [F.col(f"`{n.replace('`', '``')}`") for n in names]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, or the context's checkpoint folder; where both are unset, a new local
     one, but only on a local master: on a cluster each executor would write to its own disk."""

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldenloom.llm.common import fresh, table
+from goldenloom.llm.common import fresh, named, table
 
 MIN_WORDS = 50
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -110,7 +110,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     right = runs.toDF(*names)
     on = F.col(id_col).eqNullSafe(F.col(names[0])) & F.xxhash64(text_col).eqNullSafe(F.col(names[1]))
     # Always by shuffle, as the runs grow with the texts.
-    marked = docs.select(*columns).join(right.hint("merge"), on, "left").select(*columns, names[2])
+    marked = docs.select(*named(*columns)).join(right.hint("merge"), on, "left").select(*named(*columns), names[2])
     at = columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +121,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 texts.append(text)
                 gone.append(n)
             arrays = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(len(columns))]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(gone, pa.int64())], [*columns, count_col])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(gone, pa.int64())], inner)
 
-    schema = T.StructType([*(docs.schema[c] for c in columns), T.StructField(count_col, T.LongType())])
-    return marked.mapInArrow(cut, schema)
+    # Spark's Python operators take plain names only.
+    inner = [f"c{k}" for k in range(len(columns) + 1)]
+    schema = T.StructType([*(T.StructField(n, docs.schema[c].dataType) for n, c in zip(inner, columns)), T.StructField(inner[-1], T.LongType())])
+    return marked.toDF(*inner).mapInArrow(cut, schema).toDF(*columns, count_col)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldenloom.llm.common import table
+from goldenloom.llm.common import named, table
 
 # Frequent function words of each language.
 COMMON = {
@@ -137,6 +137,6 @@ def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     """The docs that are kept, with their columns, of any names. Null and empty texts go; repeated rows are judged
     alike; without a language column only character classes are compared; an empty table gives an empty one."""
     language = [F.col(lang_col)] if lang_col in docs.columns else []
-    whole = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text_col).alias("text"), *(c.alias("lang") for c in language))
+    whole = docs.select(F.struct(*named(*docs.columns)).alias("__row"), F.col(text_col).alias("text"), *(c.alias("lang") for c in language))
     measured = table(measure(whole, "text", "lang").select("__row", "__f"), "quality-measures")
     return judge(measured, language_references(measured)).where("__q.kept").select("__row.*")

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldenloom.llm.common import table
+from goldenloom.llm.common import fresh, table
 from goldenloom.llm.graph import components
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
@@ -148,14 +148,15 @@ def one_of_each(docs: DataFrame, grouped: DataFrame, id_col: str, text_col: str)
     """grouped: (id, text_hash, component) of each row of docs, text_hash as xxhash64 gives it. Of each component one
     row of docs stays, with its columns: that with the smallest id (null last), then text hash."""
     order = F.struct(F.col("id").isNull(), "id", "text_hash")
+    own_id, own_hash = fresh(docs, "kept_id", "kept_hash")
     first = grouped.groupBy("component").agg(F.min_by(F.struct("id", "text_hash"), order).alias("r"), F.count("*").alias("n"))
-    keep = table(first.select(F.col("r.id").alias("__id"), F.col("r.text_hash").alias("__th"), "n"), "survivors")
-    on = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__th"))
-    found = docs.join(keep.select("__id", "__th").hint("merge"), on, "left_semi")  # by shuffle at every size, as the survivors grow with the texts
+    keep = table(first.select(F.col("r.id").alias(own_id), F.col("r.text_hash").alias(own_hash)), "survivors")
+    on = F.col(id_col).eqNullSafe(F.col(own_id)) & (F.xxhash64(text_col) == F.col(own_hash))
+    found = docs.join(keep.hint("merge"), on, "left_semi")  # by shuffle at every size, as the survivors grow with the texts
     again = grouped.groupBy("id", "text_hash").agg(F.count("*").alias("n")).where("n > 1")
     if again.isEmpty():
         return found
-    return found.withColumn("__th", F.xxhash64(text_col)).dropDuplicates([id_col, "__th"]).drop("__th")
+    return found.withColumn(own_hash, F.xxhash64(text_col)).dropDuplicates([id_col, own_hash]).drop(own_hash)
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -22,9 +22,12 @@ from goldenloom.llm.common import new_path, table
 
 RECORD = "urn:page:"
 NO_ID = "<urn:no-page>"
-#: Pages of about 4 KB make archives of about 16 MB; the reader holds one archive at a time.
-RECORDS_PER_ARCHIVE = 4000
+#: The reader holds one archive at a time. Payloads of up to SMALL bytes go 4,000 to an archive, which is 256 MB at
+#: most; larger ones go into archives of their own, as few to each as keep it at that, one at least.
+SMALL, RECORDS_PER_ARCHIVE = 1 << 16, 4000
+ARCHIVE_BYTES = SMALL * RECORDS_PER_ARCHIVE
 DATE = "2024-01-01T00:00:00Z"
+PIECE = 1 << 16
 _START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 
 
@@ -69,7 +72,16 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", html_col: s
     A null payload is empty; a null url is an empty target; rows equal in id and payload are all
     responses; a null id revisits, unless all its equals have none. Other columns are ignored."""
     rows = with_originals(pages, id_col, html_col, min_bytes)
-    rows.select(record_text().alias("value")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", RECORDS_PER_ARCHIVE).text(path)
+
+    def write(some: DataFrame, records: int, mode: str = "error") -> None:
+        some.select(record_text().alias("value")).write.mode(mode).option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records).text(path)
+
+    longest = pages.agg(F.max(F.octet_length(F.col(html_col).cast("string")))).first()[0] or 0
+    if longest <= SMALL:
+        write(rows, RECORDS_PER_ARCHIVE)
+        return
+    write(rows.where(F.col("bytes") <= SMALL), RECORDS_PER_ARCHIVE)
+    write(rows.where(F.col("bytes") > SMALL), max(1, ARCHIVE_BYTES // longest), "append")
 
 
 def parse_record(data: bytes, at: int) -> tuple[dict[bytes, bytes], bytes, int]:
@@ -95,17 +107,20 @@ def parse_record(data: bytes, at: int) -> tuple[dict[bytes, bytes], bytes, int]:
 
 def parse_member(data: bytes, at: int) -> tuple[dict[bytes, bytes], bytes, int]:
     """As parse_record(), for a gzip member that holds one record."""
-    unzip = zlib.decompressobj(31)
+    unzip, view, parts, end = zlib.decompressobj(31), memoryview(data), [], at
     try:
-        plain = unzip.decompress(data[at:])
+        while not unzip.eof and end < len(data):  # pieces, so that no member copies what comes after it
+            parts.append(unzip.decompress(view[end : end + PIECE]))
+            end = min(len(data), end + PIECE)
     except zlib.error as e:
         raise ValueError(str(e)) from None
     if not unzip.eof:
         raise ValueError("the member is cut off")
+    plain = b"".join(parts)
     header, block, stop = parse_record(plain, 0)
     if stop != len(plain):
         raise ValueError("the member holds more than a record")
-    return header, block, len(data) - len(unzip.unused_data)
+    return header, block, end - len(unzip.unused_data)
 
 
 def records(data: bytes) -> Iterator[tuple[int, int, dict[bytes, bytes] | None, bytes]]:

@@ -1,15 +1,17 @@
 """Periodic runs, chat formatting and hard negatives against brute-force versions, and on odd rows."""
 
+import gzip
 import hashlib
 import math
 import random
+import time
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from goldenloom.llm import chat, negatives, periods, queries
+from goldenloom.llm import chat, negatives, periods, queries, warc
 
 DATA = "/root/testdata/sf0.001"
 CLASH = ("id", "row", "n", "v", "runs", "segments", "block", "rank", "a.b", "__id")
@@ -226,3 +228,31 @@ def test_negatives_of_nothing(spark):
     large = [(0, 1, [1e30, -1e30]), (1, 1, [1e30, 0.0]), (2, 2, [9e4, 0.0])]
     held = 1 << 25
     assert [tuple(r) for r in negatives.hard_negatives(vectors_of(spark, large), "vec_id = 0").collect()] == [(0, 1, 1, 2, held * held, held * int(9e4 * 256))]
+
+
+# 7. Large payloads
+
+
+def test_archives_are_bounded_by_bytes(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(warc, "SMALL", 100)
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 3000)
+    rows = [(i, "http://x.example/", "p" * n) for i, n in enumerate([5, 90, 1000, 1001, 999, 1001, 1001, 7, 950])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_warc(pages, f"file://{tmp_path}/w")
+    sizes = [f.stat().st_size for f in (tmp_path / "w").glob("part-*")]
+    assert max(sizes) <= 3000 + 3 * 700 and len(sizes) >= 3
+    got = {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in warc.archive_and_read(pages).collect()}
+    assert got == {i: (len(h), "revisit" if i in (5, 6) else "response", 3 if i in (5, 6) else None) for i, _, h in rows}
+
+
+def test_many_members_are_read_in_time_in_proportion():
+    record = b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: 2000\r\n\r\n" + bytes(range(200)) * 10 + b"\r\n\r\n"
+    members = gzip.compress(record, 1)
+
+    def seconds(n):
+        began = time.process_time()
+        assert sum(h is not None for _, _, h, _ in warc.records(members * n)) == n
+        return time.process_time() - began
+
+    seconds(100)
+    assert seconds(16_000) < 30 * max(seconds(1_600), 0.05)

@@ -643,12 +643,12 @@ def test_license_templates(spark):
 def test_stages_keep_columns_of_any_name(spark, docs):
     import corpus_pipeline
 
-    names = ("n_deleted_lines", "__runs", "__f", "__q", "__k", "__d", "__rc", "other_id", "other_hash", "runs")
+    names = ("n_deleted_lines", "__runs", "__f", "__q", "__k", "__d", "__rc", "other_id", "other_hash", "runs", "__id", "__th", "kept_id", "kept_hash", "a.b", "a`b", "x y")
     clash = docs.withColumns({c: F.lit("x") for c in names})
     for name, stage in corpus_pipeline.STAGES[:-1]:
         made = stage(spark, clash, DATA)
         assert made.columns == clash.columns, name
-        assert made.where("n_deleted_lines <> 'x' or __runs <> 'x' or __q <> 'x'").count() == 0, name
+        assert made.where("n_deleted_lines <> 'x' or __runs <> 'x' or __q <> 'x' or __id <> 'x' or kept_hash <> 'x' or `a.b` <> 'x' or `a``b` <> 'x'").count() == 0, name
         plain = stage(spark, docs, DATA)
         assert sorted((r[0] is None, r[0], r[1] or "") for r in made.select("doc_id", "text").collect()) == sorted((r[0] is None, r[0], r[1] or "") for r in plain.select("doc_id", "text").collect()), name
 
