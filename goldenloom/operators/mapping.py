@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from goldenloom.functions.keys import norm
+from goldenloom.functions.keys import let, norm
+from goldenloom.sources import files
 
 
 #: The least score that a domain accepts.
 ACCEPTED = {"city": 0.85, "disease": 0.8, "sponsor": 0.67}
 
 
+# Characters that n-grams leave out, by the order of steps in gram_text().
+LEFT_OUT = r"[().|\[\]{}'=?]"
+
+
 def gram_text(c: Column) -> Column:
     """Text as n-grams are made of it: ASCII only, without brackets and dots, & as and, commas and dashes as blanks,
     words capitalised, single blanks, and one at each end."""
-    plain = F.regexp_replace(F.lower(F.regexp_replace(c, r"[^\x00-\x7F]", "")), r"[().|\[\]{}'=?]", "")
+    plain = F.regexp_replace(F.lower(F.regexp_replace(c, r"[^\x00-\x7F]", "")), LEFT_OUT, "")
     spaced = F.regexp_replace(F.replace(plain, F.lit("&"), F.lit("and")), "[,-]", " ")
     # A letter after anything but a letter is a capital.
     parts = F.split(spaced, "(?<![a-z])(?=[a-z])")
@@ -28,29 +35,48 @@ def accepted(df: DataFrame, domain: str, score: str = "score") -> DataFrame:
     return df.where(F.col(score) >= ACCEPTED[domain])
 
 
-def grams(c: Column, n: int = 3) -> Column:
-    """Character n-grams of the normalised value, padded with a blank; repeats stay."""
-    padded = F.concat(F.lit(" "), norm(c), F.lit(" "))
-    last = F.greatest(F.length(padded) - n, F.lit(0))
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(padded, i + 1, F.lit(n)))
+def grams(c: Column, n: int = 3, prepare: Callable[[Column], Column] | None = None) -> Column:
+    """Character n-grams of the normalised value, padded with a blank, or of `prepare`d text; repeats stay."""
+    padded = prepare(c) if prepare else F.concat(F.lit(" "), norm(c), F.lit(" "))
+    last = lambda t: F.greatest(F.length(t) - n, F.lit(0))
+    return let(padded, lambda t: F.transform(F.sequence(F.lit(0), last(t)), lambda i: F.substring(t, i + 1, F.lit(n))))
 
 
-def tfidf_top1(raw: DataFrame, vocabulary: DataFrame, least: float, n: int = 3) -> DataFrame:
+def tfidf_top1(raw: DataFrame, vocabulary: DataFrame, least: float, n: int = 3, prepare: Callable[[Column], Column] | None = None) -> DataFrame:
     """raw(raw) and vocabulary(std), distinct values, to (raw, std, score): the standard value with the highest
-    TF-IDF cosine of n-grams of at least `least`; ties by name. Grams meet in an inverted index, so only
-    pairs that share one are scored."""
+    TF-IDF cosine of n-grams of at least `least`; ties by name. prepare: for example gram_text.
+
+    A pair's score is at most the sum of the raw value's weights times the greatest weight that each gram has in any
+    standard value. With a value's grams from rare to common, those after which that sum stays under `least` can't make a
+    pair alone: values meet in the inverted index on the grams before, and only such pairs are scored, on all grams."""
+    a, b = tfidf_weights(raw, vocabulary, n, prepare)
+    met = tfidf_candidates(a, b, least)
+    both = met.join(a.select("raw", "g", F.col("w").alias("wa")), "raw").join(b.select("std", "g", F.col("w").alias("wb")), ["std", "g"])
+    pairs = both.groupBy("raw", "std").agg(F.sum(F.col("wa") * F.col("wb")).alias("score"))
+    best = pairs.where(F.col("score") >= least).groupBy("raw").agg(F.min_by(F.struct("std", "score"), F.struct((-F.round("score", 9)).alias("s"), F.col("std"))).alias("b"))
+    return best.select("raw", "b.*")
+
+
+def tfidf_weights(raw: DataFrame, vocabulary: DataFrame, n: int, prepare: Callable[[Column], Column] | None) -> tuple[DataFrame, DataFrame]:
+    """(raw, g, w, df) and (std, g, w, df): unit weights of each value's grams that the vocabulary has, and the number of
+    its values with the gram."""
     size = vocabulary.agg(F.count("*").alias("_n"))
 
-    def weights(df: DataFrame, column: str, idf: DataFrame) -> DataFrame:
-        tf = df.select(column, F.explode(grams(F.col(column), n)).alias("g")).groupBy(column, "g").agg(F.count("*").alias("tf"))
-        return tf.join(idf, "g").withColumn("w", F.col("tf") * F.col("idf")).withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(column))))
+    def weights(values: DataFrame, column: str, idf: DataFrame) -> DataFrame:
+        tf = values.select(column, F.explode(grams(F.col(column), n, prepare)).alias("g")).groupBy(column, "g").agg(F.count("*").alias("tf"))
+        return tf.join(idf, "g").withColumn("w", F.col("tf") * F.col("idf")).withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(column)))).select(column, "g", "w", "df")
 
-    held = vocabulary.select("std", F.explode(F.array_distinct(grams(F.col("std"), n))).alias("g")).groupBy("g").agg(F.count("*").alias("df"))
-    idf = held.crossJoin(F.broadcast(size)).select("g", (F.ln((F.col("_n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))  # one row
-    a, b = weights(raw, "raw", idf), weights(vocabulary, "std", idf)
-    pairs = a.select("raw", "g", F.col("w").alias("wa")).join(b.select("std", "g", F.col("w").alias("wb")), "g").groupBy("raw", "std").agg(F.sum(F.col("wa") * F.col("wb")).alias("score"))
-    best = pairs.where(F.col("score") >= least).groupBy("raw").agg(F.min_by(F.struct("std", "score"), F.struct((-F.round("score", 9)).alias("s"), F.col("std"))).alias("b"))
-    return best.select("raw", "b.*")
+    held = vocabulary.select("std", F.explode(F.array_distinct(grams(F.col("std"), n, prepare))).alias("g")).groupBy("g").agg(F.count("*").alias("df"))
+    idf = files.stored(held.crossJoin(F.broadcast(size)).select("g", "df", (F.ln((F.col("_n") + 1) / (F.col("df") + 1)) + 1).alias("idf")))  # size: one row
+    return files.stored(weights(raw, "raw", idf)), files.stored(weights(vocabulary, "std", idf))
+
+
+def tfidf_candidates(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """(raw, std), each once, of tfidf_weights() that may score `least`."""
+    highest = b.groupBy("g").agg(F.max("w").alias("most"))
+    after = Window.partitionBy("raw").orderBy("df", "g").rowsBetween(0, Window.unboundedFollowing)
+    few = a.join(highest, "g").withColumn("rest", F.sum(F.col("w") * F.col("most")).over(after)).where(F.col("rest") >= least - 1e-9)
+    return few.select("raw", "g").join(b.select("std", "g"), "g").select("raw", "std").distinct()
 
 
 def cosine_top1(queries: DataFrame, items: DataFrame) -> DataFrame:

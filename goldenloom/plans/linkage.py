@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldenloom.operators import matching, resolve, similarity, windows
+from goldenloom.operators import mapping, matching, resolve, similarity, windows
 from goldenloom.plans.registry import Tables, query
 from goldenloom.sources import databases, files, tables
 
@@ -64,6 +64,24 @@ def pair_comparators(t: Tables) -> DataFrame:
     return pairs.select("left", "right", F.round(similarity.set_similarity(a, b, " "), 6).alias("as_sets"), F.round(similarity.short_string(a, b), 6).alias("as_short"), F.round(similarity.partial_ratio(a, b), 6).alias("as_part"))
 
 
+_PREP = "' ' || upper(substr({x}, 1, 1)) || substr({x}, 2) || ' '"
+_RAW = f"SELECT DISTINCT host AS raw, {_PREP.format(x="regexp_replace(lower(host), '[.]', '', 'g')")} AS t FROM h WHERE host <> ''"
+_STD = f"SELECT DISTINCT std, {_PREP.format(x="regexp_replace(lower(std), '[.]', '', 'g')")} AS t FROM (SELECT regexp_replace(host, '^(m|www)[.]', '') AS std FROM h WHERE host <> '')"
+_GRAMS = "SELECT {x}, unnest([substr(t, i, 3) FOR i IN range(1, length(t) - 1)]) AS g FROM {d}"
+
+
+@query(f"""WITH h AS (SELECT DISTINCT regexp_extract(url, '://([^/?#]+)', 1) AS host FROM pages), s AS ({_STD}), r AS ({_RAW}), v AS ({_GRAMS.format(x='std', d='s')}), q AS ({_GRAMS.format(x='raw', d='r')}),
+i AS (SELECT g, ln(((SELECT count(*) FROM s) + 1) / (count(DISTINCT std) + 1)) + 1 AS idf FROM v GROUP BY 1), b AS (SELECT std, g, count(*) * any_value(idf) AS w FROM v JOIN i USING (g) GROUP BY 1, 2),
+a AS (SELECT raw, g, count(*) * any_value(idf) AS w FROM q JOIN i USING (g) GROUP BY 1, 2), nb AS (SELECT std, sqrt(sum(w * w)) AS n FROM b GROUP BY 1), na AS (SELECT raw, sqrt(sum(w * w)) AS n FROM a GROUP BY 1),
+p AS (SELECT raw, std, sum(a.w * b.w) / any_value(na.n) / any_value(nb.n) AS score FROM a JOIN b USING (g) JOIN na USING (raw) JOIN nb USING (std) GROUP BY 1, 2)
+SELECT raw, std, round(score, 5) AS score FROM p WHERE score >= 0.8 QUALIFY row_number() OVER (PARTITION BY raw ORDER BY round(score, 9) DESC, std) = 1""")
+def prepared_top1(t: Tables) -> DataFrame:
+    """Hosts against hosts without their first label m or www, by the grams of prepared text."""
+    hosts = t.pages.select(F.regexp_extract("url", "://([^/?#]+)", 1).alias("raw")).where("raw <> ''").distinct()
+    std = hosts.select(F.regexp_replace("raw", "^(m|www)[.]", "").alias("std")).distinct()
+    return mapping.tfidf_top1(hosts, std, 0.8, prepare=mapping.gram_text).withColumn("score", F.round("score", 5))
+
+
 def entities(t: Tables) -> DataFrame:
     """(id, name, phone, city): each customer twice, under made-up names; the second entry, of odd id, has a letter missing,
     its words swapped or a letter more, and some have no phone or a wrong digit."""

@@ -141,10 +141,11 @@ def combo_flag(t: Tables) -> DataFrame:
     return t.sql(NAMES, "part").select("p_partkey", mapping.is_combination(c("name")).alias("combo"))
 
 
-@query("WITH s AS (SELECT lower(p_name) AS k, min(p_brand) AS b FROM part WHERE p_partkey % 3 = 0 GROUP BY 1) SELECT p_partkey, coalesce(b, p_name) AS name FROM part LEFT JOIN s ON lower(p_name) = k")
+@query("WITH s AS (SELECT lower(p_name) AS k, min(p_brand) AS b FROM part GROUP BY 1), n AS (SELECT p_partkey, CASE WHEN p_size > 25 THEN p_type ELSE p_name END AS name FROM part) SELECT p_partkey, coalesce(b, name) AS name FROM n LEFT JOIN s ON lower(name) = k")
 def synonym_resolve(t: Tables) -> DataFrame:
-    synonyms = t.part.where("p_partkey % 3 = 0").select(F.upper("p_name").alias("synonym"), c("p_brand").alias("primary"))
-    return mapping.primary_names(t.part.select("p_partkey", c("p_name").alias("name")), "name", synonyms)
+    """Names of parts are synonyms of their brands; types of parts are not known."""
+    synonyms = t.part.select(F.upper("p_name").alias("synonym"), c("p_brand").alias("primary"))
+    return mapping.primary_names(t.part.select("p_partkey", F.when(c("p_size") > 25, c("p_type")).otherwise(c("p_name")).alias("name")), "name", synonyms)
 
 
 @query("SELECT p_partkey, array_to_string(list_distinct_kept, ';') AS sponsors FROM (SELECT p_partkey, CASE WHEN p_name = p_type THEN [p_brand, p_name] WHEN p_name = p_brand THEN [p_brand, p_type] WHEN p_brand = p_type THEN [p_brand, p_name] ELSE [p_brand, p_name, p_type] END AS list_distinct_kept FROM part)")
@@ -166,9 +167,10 @@ def criteria_split(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", parts["first"].alias("first"), parts["second"].alias("second"))
 
 
-@query(f"""{L}, a AS (SELECT concat('a', c_custkey) AS alias, CASE WHEN c_custkey % 4 = 0 THEN concat('a', c_custkey + 1) END AS id FROM customer WHERE c_custkey % 2 = 0),
+@query(f"""{L}, a AS (SELECT concat('a', c_custkey) AS alias, CASE WHEN c_acctbal > 0 THEN concat('a', c_custkey + 1) END AS id FROM customer WHERE c_mktsegment <> 'MACHINERY'),
 e AS (SELECT uid, unnest(string_split(ids, '|')) AS alias FROM l), r AS (SELECT uid, CASE WHEN a.alias IS NULL THEN e.alias ELSE id END AS id FROM e LEFT JOIN a ON a.alias = e.alias)
 SELECT uid, coalesce(string_agg(DISTINCT id, '|' ORDER BY id), '') AS ids FROM r GROUP BY 1""")
 def alias_resolve(t: Tables) -> DataFrame:
-    aliases = t.customer.where("c_custkey % 2 = 0").selectExpr("concat('a', c_custkey) AS alias", "CASE WHEN c_custkey % 4 = 0 THEN concat('a', c_custkey + 1) END AS id")
+    """Customers of one segment are current; those of the others gave way to the next one, or to none."""
+    aliases = t.customer.where("c_mktsegment <> 'MACHINERY'").selectExpr("concat('a', c_custkey) AS alias", "CASE WHEN c_acctbal > 0 THEN concat('a', c_custkey + 1) END AS id")
     return curation.resolve_aliases(t.sql(LISTS, "orders"), "uid", "ids", aliases)

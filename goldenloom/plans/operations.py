@@ -27,24 +27,30 @@ def csv_export(t: Tables) -> DataFrame:
     return t.spark.read.option("header", True).schema("o_custkey bigint, n bigint, total double").csv(path)
 
 
-_FOUND = "(VALUES ('Id|Full Name', 'id|full_name'), ('id|name', 'name|id'), ('ID', 'id'), ('a|b', 'a|b|c')) v(found, expected)"
-
-
-@query(f"SELECT found, expected, lower(regexp_replace(found, '[^A-Za-z0-9|]', '', 'g')) = lower(regexp_replace(expected, '[^A-Za-z0-9|]', '', 'g')) AS same, len(string_split(found, '|')) AS fields FROM {_FOUND}")
+@query("""SELECT 'customer' AS file, true AS same_header, count(*) AS n_rows, 0 AS n_bad FROM customer UNION ALL SELECT 'supplier', false, count(*), 0 FROM supplier
+UNION ALL SELECT 'nation', false, count(*), count(*) FROM nation UNION ALL SELECT 'orders', true, count(*), count(*) FILTER (o_orderstatus = 'F') FROM orders""")
 def header_check(t: Tables) -> DataFrame:
-    """File headers against the expected ones, and their field counts."""
-    given = [("Id|Full Name", "id|full_name"), ("id|name", "name|id"), ("ID", "id"), ("a|b", "a|b|c")]
-    rows = [(a, b, files.same_header(a.split("|"), b.split("|")), len(a.split("|"))) for a, b in given]
-    return t.spark.createDataFrame(rows, "found string, expected string, same boolean, fields bigint")
+    """Files written from the tables, against the header that customers' files have: other names, a field less, and lines
+    with a field more."""
+    base, names = files.scratch(t.spark), ["c_custkey", "c_name", "c_nationkey"]
+    put = lambda df, name: df.coalesce(1).write.csv(f"{base}/{name}", header=True, sep="|", quote="")
+    put(t.customer.select(c("c_custkey").alias("C Cust-Key"), c("c_name").alias("C_NAME"), "c_nationkey"), "customer")
+    put(t.supplier.select("s_suppkey", "s_name", "s_nationkey"), "supplier")
+    put(t.nation.select("n_nationkey", "n_name"), "nation")
+    key = F.when(c("o_orderstatus") == "F", F.concat("o_orderpriority", F.lit("|x"))).otherwise(c("o_orderpriority"))
+    put(t.orders.select(c("o_custkey").alias("c_custkey"), key.alias("c_name"), c("o_orderkey").alias("c_nationkey")), "orders")
+    return files.check_files(t.spark, base, names, "|").select(F.regexp_extract("file", "^([^/]+)", 1).alias("file"), "same_header", "n_rows", "n_bad")
 
 
-_NAMES = ("sites_20240131.csv", "sites_2024.csv", "sites_20240131.csv.bak", "trials_01-31-2024_x.csv")
+_NAMED = "CASE o_orderstatus WHEN 'F' THEN 'sites_' || {day} || '.csv' WHEN 'O' THEN 'trials_' || {dashed} || '_' || o_orderpriority || '.csv' ELSE 'sites_' || {day} || '.csv.bak' END"
 
 
-@query(f"SELECT name, regexp_full_match(name, 'sites_[0-9]{{8}}\\.csv') AS sites, regexp_full_match(name, 'trials_[0-9]{{2}}-[0-9]{{2}}-[0-9]{{4}}.*\\.csv') AS trials FROM (SELECT unnest({list(_NAMES)}) AS name)")
+@query(f"""WITH n AS (SELECT o_orderkey, {_NAMED.format(day="strftime(o_orderdate, '%Y%m%d')", dashed="strftime(o_orderdate, '%m-%d-%Y')")} AS name FROM orders)
+SELECT o_orderkey, name, regexp_full_match(name, 'sites_[0-9]{{8}}[.]csv') AS sites, regexp_full_match(name, 'trials_[0-9]{{2}}-[0-9]{{2}}-[0-9]{{4}}.*[.]csv') AS trials FROM n""")
 def file_name_check(t: Tables) -> DataFrame:
-    rows = [(n, files.file_name_matches(n, "sites_YYYYMMDD.csv"), files.file_name_matches(n, "trials_MM-DD-YYYY*.csv")) for n in _NAMES]
-    return t.spark.createDataFrame(rows, "name string, sites boolean, trials boolean")
+    """Names of files, one for each order, against two patterns."""
+    named = t.orders.select("o_orderkey", F.expr(_NAMED.format(day="date_format(o_orderdate, 'yyyyMMdd')", dashed="date_format(o_orderdate, 'MM-dd-yyyy')")).alias("name"))
+    return named.withColumns({"sites": files.name_matches(c("name"), "sites_YYYYMMDD.csv"), "trials": files.name_matches(c("name"), "trials_MM-DD-YYYY*.csv")})
 
 
 @query("SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderstatus <> 'P' GROUP BY 1")

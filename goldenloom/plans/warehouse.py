@@ -301,14 +301,15 @@ def batch_audit(t: Tables) -> DataFrame:
     return g.withColumn("recency", F.dense_rank().over(Window.orderBy(F.desc("batch"))))  # a row per batch
 
 
-_PREV = "SELECT CAST(c_custkey AS VARCHAR) AS hash_uid, 'id_' || CAST(c_custkey // 3 AS VARCHAR) AS golden_id, c_custkey // 3 AS num FROM customer WHERE c_custkey % 5 <> 0"
+_PREV = "SELECT CAST(c_custkey AS VARCHAR) AS hash_uid, 'id_' || CAST(c_custkey // 3 AS VARCHAR) AS golden_id, c_custkey // 3 AS num FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')"
 _CUR = "SELECT CAST(c_custkey AS VARCHAR) AS hash_uid, c_custkey // 4 AS cluster_id FROM customer"
 
 
 @query(f"WITH p AS ({_PREV}), q AS ({_CUR}), s AS (SELECT cluster_id, golden_id, num, count(*) AS n FROM q JOIN p USING (hash_uid) GROUP BY 1, 2, 3), b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY n DESC, num) = 1), w AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY golden_id ORDER BY n DESC, cluster_id) = 1), r AS (SELECT cluster_id, 'id_' || CAST(row_number() OVER (ORDER BY cluster_id) + (SELECT max(num) FROM p) AS VARCHAR) AS golden_id FROM (SELECT DISTINCT cluster_id FROM q WHERE cluster_id NOT IN (SELECT cluster_id FROM w))) SELECT hash_uid, golden_id FROM q JOIN (SELECT cluster_id, golden_id FROM w UNION ALL SELECT * FROM r) USING (cluster_id)")
 def golden_id_maintain(t: Tables) -> DataFrame:
     uid = c("c_custkey").cast("string").alias("hash_uid")
-    previous = t.customer.where("c_custkey % 5 <> 0").select(uid, F.expr("'id_' || cast(c_custkey div 3 as string) as golden_id"))
+    known = t.orders.where("o_orderpriority = '1-URGENT' and o_orderstatus = 'F'").select(c("o_custkey").alias("c_custkey"))  # the run before knew these
+    previous = t.customer.join(known, "c_custkey", "left_semi").select(uid, F.expr("'id_' || cast(c_custkey div 3 as string) as golden_id"))
     return history.golden_ids(previous, t.customer.select(uid, F.expr("c_custkey div 4 as cluster_id")), "id_")
 
 

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TEMPORAL = ("date", "timestamp")
@@ -34,12 +34,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def through_csv(df: DataFrame, sep: str = "|") -> DataFrame:
-    """Written as CSV with a header and read with the same schema."""
+def through_csv(df: DataFrame, sep: str = "|", multi_line: bool = False) -> DataFrame:
+    """Written as CSV with a header and read with the same schema. Files are read in parts unless values may hold line
+    ends (multi_line), which takes one task a file."""
     path = scratch(df.sparkSession)
-    options = {"header": True, "sep": sep, "escape": '"', "multiLine": True}
-    df.write.options(header=True, sep=sep, escape='"').csv(path)
-    return df.sparkSession.read.schema(df.schema).options(**options).csv(path)
+    options = {"header": True, "sep": sep, "escape": '"'}
+    df.write.options(**options).csv(path)
+    return df.sparkSession.read.schema(df.schema).options(**options, multiLine=multi_line).csv(path)
 
 
 def through_partitions(df: DataFrame, *keys: str) -> DataFrame:
@@ -70,13 +71,14 @@ def read_runs(spark: SparkSession, path: str, **run: str) -> DataFrame:
     return df
 
 
-def land(spark: SparkSession, source: str, target: str, kind: str = "csv", sep: str = ",", header: bool | list[str] = True, mb: int = 128) -> DataFrame:
+def land(spark: SparkSession, source: str, target: str, kind: str = "csv", sep: str = ",", header: bool | list[str] = True, mb: int = 128, multi_line: bool = False) -> DataFrame:
     """CSV or Parquet landed as Parquet with all columns as strings, in files of about `mb` MB. header: whether the
-    file has one, or the column names of a file without; without either columns are called col1, col2 and so on."""
+    file has one, or the column names of a file without; without either columns are called col1, col2 and so on. A file is read in
+    parts by many tasks unless its values may hold line ends (multi_line)."""
     if kind == "parquet":
         df = spark.read.parquet(source)
     else:
-        df = spark.read.options(sep=sep, header=header is True, escape='"', multiLine=True, inferSchema=False).csv(source)
+        df = spark.read.options(sep=sep, header=header is True, escape='"', multiLine=multi_line, inferSchema=False).csv(source)
         if header is not True:
             df = df.toDF(*(header or [f"col{k + 1}" for k in range(len(df.columns))]))
     path = spark._jvm.org.apache.hadoop.fs.Path(source)
@@ -125,18 +127,48 @@ def read_jdbc(spark: SparkSession, url: str, query: str, **options: str) -> Data
     return spark.read.format("jdbc").options(url=url, query=query, **options).load()
 
 
+def plain_name(c: Column) -> Column:
+    """A column name as headers are compared: letters and digits only, case aside."""
+    return F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
+
+
 def same_header(found: list[str], expected: list[str]) -> bool:
     """Equal in order, letters and digits only, case aside."""
     plain = lambda names: [re.sub(r"[^a-z0-9]", "", n.lower()) for n in names]
     return plain(found) == plain(expected)
 
 
-def file_name_matches(name: str, pattern: str) -> bool:
-    """A pattern with YYYY, MM, DD, HH, SS and * against a whole file name."""
+def check_files(spark: SparkSession, path: str, expected: list[str], sep: str = ",") -> DataFrame:
+    """(file, header, same_header, n_rows, n_bad) of the delimited files under `path`: whether the first line has the
+    expected names in order, and how many of the other lines have another number of fields; quoted values may hold the
+    delimiter, not a line end. Lines are read in parts, so a file of any size is many tasks; empty files have no row."""
+    fields = F.size(F.split(F.regexp_replace("value", '"([^"]|"")*"', ""), re.escape(sep)))
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")).alias("place"), "value", fields.alias("fields"))
+    whole = lines.groupBy("path").agg(F.min_by("value", "place").alias("header"), F.count("*").alias("lines"), F.count_if(F.col("fields") != len(expected)).alias("bad"), F.min_by("fields", "place").alias("named"))
+    names = F.transform(F.split("header", re.escape(sep)), plain_name)
+    wanted = F.array(*(plain_name(F.lit(n)) for n in expected))
+    return whole.select(
+        F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("file"), "header", (names == wanted).alias("same_header"), (F.col("lines") - 1).alias("n_rows"),
+        (F.col("bad") - F.when(F.col("named") != len(expected), 1).otherwise(0)).alias("n_bad"))
+
+
+def name_rule(pattern: str) -> str:
+    """The regular expression of a file-name pattern with YYYY, MM, DD, HH, SS and *."""
     rule = re.escape(pattern)
     for mark, digits in (("YYYY", 4), ("MM", 2), ("DD", 2), ("HH", 2), ("SS", 2)):
-        rule = rule.replace(mark, rf"\d{{{digits}}}")
-    return re.fullmatch(rule.replace(r"\*", ".*"), name) is not None
+        rule = rule.replace(mark, rf"[0-9]{{{digits}}}")
+    return rule.replace(r"\*", ".*")
+
+
+def file_name_matches(name: str, pattern: str) -> bool:
+    """A pattern against a whole file name."""
+    return re.fullmatch(name_rule(pattern), name) is not None
+
+
+def name_matches(name: Column, pattern: str) -> Column:
+    """As file_name_matches(), for a column of names."""
+    return name.rlike(f"^(?s:{name_rule(pattern)})\\z")
 
 
 def render(template: str, values: dict[str, str]) -> str:

@@ -8,7 +8,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from goldenloom.operators import matching, metrics, resolve, similarity, windows
+from goldenloom.operators import mapping, matching, metrics, resolve, similarity, windows
 from goldenloom.plans import linkage
 from goldenloom.plans.registry import Tables
 from goldenloom.sources import databases, files, tables
@@ -123,6 +123,47 @@ def test_decay_keeps_rows_of_null_keys_and_times(spark):
     assert len(got) == len(rows) and all((r.b is None) == (want[r.k, r.t, r.v] is None) and abs((r.b or 0) - (want[r.k, r.t, r.v] or 0)) < 1e-9 for r in got)
 
 
+def test_pruned_top1_scores_few_pairs_and_loses_none(spark):
+    """A vocabulary where all values share long common words."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 5)))
+    std = sorted({f"north clinical research hospital {word()}" for _ in range(150)})
+    raw = sorted({s.replace("clinical", "clinic") if rng.random() < 0.5 else s + "s" for s in std[:80]} | {f"{word()} {word()}" for _ in range(40)} | {"", "hospital"})
+    raws, stds = (spark.createDataFrame([(x,) for x in values], f"{name} string") for name, values in (("raw", raw), ("std", std)))
+    a, b = mapping.tfidf_weights(raws, stds, 3, None)
+    every = a.withColumnRenamed("w", "wa").join(b.withColumnRenamed("w", "wb").drop("df"), "g").groupBy("raw", "std").agg(F.sum(F.col("wa") * F.col("wb")).alias("score"))
+    want = {}
+    for r in every.where("score >= 0.8").collect():
+        best = want.get(r.raw)
+        if best is None or (-round(r.score, 9), r.std) < (-round(best[1], 9), best[0]):
+            want[r.raw] = (r.std, r.score)
+    got = {r.raw: (r.std, r.score) for r in mapping.tfidf_top1(raws, stds, 0.8).collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()} and len(want) > 60
+    assert mapping.tfidf_candidates(a, b, 0.8).count() < 0.25 * every.count()
+
+
+def test_files_are_checked_line_by_line(spark, tmp_path):
+    for name, text in {"a": 'Id|Full Name\n1|x\n2|"y|z"\n', "b": "name|id\n1|2|3\n1\n", "c": "id\n1|2\n", "d": ""}.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "f.csv").write_text(text)
+    got = {r.file: (r.same_header, r.n_rows, r.n_bad) for r in files.check_files(spark, f"file://{tmp_path}", ["id", "full_name"], "|").collect()}
+    assert got == {"a/f.csv": (True, 2, 0), "b/f.csv": (False, 2, 2), "c/f.csv": (False, 1, 0)}
+
+
+def test_a_large_file_lands_by_many_tasks(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("k,v\n" + "".join(f"{i},{'v' * 90}\n" for i in range(40_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 19))
+    try:
+        read = spark.read.options(header=True).csv(f"file://{tmp_path}/x.csv")
+        assert read.rdd.getNumPartitions() > 3
+        landed = files.land(spark, f"file://{tmp_path}/x.csv", f"file://{tmp_path}/landed")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert landed.count() == 40_000 and landed.agg(F.count_distinct("k")).first()[0] == 40_000
+    (tmp_path / "y.csv").write_text('k,v\n1,"two\nlines"\n')
+    assert files.land(spark, f"file://{tmp_path}/y.csv", f"file://{tmp_path}/l2", multi_line=True).collect() == [("1", "two\nlines")]
+
+
 # The learned matcher
 
 
