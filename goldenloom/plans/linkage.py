@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from goldenloom.operators import mapping, matching, resolve, similarity, windows
 from goldenloom.plans.registry import Tables, query
-from goldenloom.sources import databases, files, tables
+from goldenloom.sources import databases, files, tables, workbooks
 
 c = F.col
 
@@ -176,3 +176,11 @@ def catalog_overwrite(t: Tables) -> DataFrame:
     tables.overwrite_partitions(rows.where("status = 'F'").withColumn("price", c("price") + 1), name)
     tables.overwrite_partition(rows.limit(0).drop("status"), name, status="P")
     return t.spark.table(name)
+
+
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, CASE WHEN s_nationkey > 12 THEN s_name || ' <&> ' || chr(10) || ' ' END AS note, round(s_acctbal, 2) AS s_acctbal FROM supplier")
+def workbook_roundtrip(t: Tables) -> DataFrame:
+    path = f"{files.scratch(t.spark)}/suppliers.xlsx"
+    note = F.when(c("s_nationkey") > 12, F.concat("s_name", F.lit(" <&> \n ")))
+    workbooks.write_workbook(t.supplier.select("s_suppkey", note.alias("note"), "s_acctbal"), path)
+    return workbooks.read_workbook(t.spark, path).withColumn("s_acctbal", F.round(c("s_acctbal").cast("double"), 2))

@@ -181,20 +181,3 @@ def render(template: str, values: dict[str, str]) -> str:
 
 def snake_case(name: str) -> str:
     return re.sub(r"(?<=[a-z0-9])(?=[A-Z])|[\s/]+", "_", name).lower()
-
-
-def read_excel(spark: SparkSession, path: str, sheet: str | int = 0) -> DataFrame:
-    """A workbook's sheet, all columns as strings. Workbooks are small by nature: the driver reads them. pandas
-    needs openpyxl for this; without it an ImportError says so."""
-    import pandas as pd
-
-    found = pd.read_excel(path, sheet_name=sheet, dtype=str).astype(object)
-    return spark.createDataFrame(found.where(found.notna(), None), ", ".join(f"`{k}` string" for k in found.columns))
-
-
-def export_excel(df: DataFrame, path: str, most: int = 1_048_575) -> None:
-    """One sheet of at most as many rows as a sheet holds; more raise before anything is written."""
-    found = df.limit(most + 1).toPandas()
-    if len(found) > most:
-        raise ValueError(f"more than {most} rows")
-    found.to_excel(path, index=False)

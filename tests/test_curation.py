@@ -1,10 +1,12 @@
 """Rules on small hand-made clusters, the rule runner and workbooks."""
 
+import zipfile
+
 import pytest
 from pyspark.sql import functions as F
 
 from goldenloom.operators import curation, mapping, runner
-from goldenloom.sources import files
+from goldenloom.sources import workbooks
 
 c = F.col
 
@@ -93,6 +95,44 @@ def test_checks_all_run_and_critical_ones_raise_together():
 
 
 def test_workbooks(spark, tmp_path):
-    pytest.importorskip("openpyxl")
-    files.export_excel(spark.createDataFrame([("1", None)], "a string, b string"), f"{tmp_path}/x.xlsx")
-    assert got(files.read_excel(spark, f"{tmp_path}/x.xlsx"), "a", "b") == {("1", None)}
+    rows = [("1", None, 1.5, 10**17), (" a  b ", "<&>\"'\n\r\t\x01_x0041_", -0.0, None), ("", "é😀", float("nan"), -1), (None, None, None, None), ("2024-01-01", "=1+1", 1e300, 0)]
+    df = spark.createDataFrame(rows, "`a b` string, c string, `d.e` double, f long")
+    path = f"file://{tmp_path}/x.xlsx"
+    workbooks.write_workbook(df, path, 'A "sheet" & more')
+    made = workbooks.read_workbook(spark, path, 'A "sheet" & more')
+    assert made.columns == df.columns
+    text = lambda x: None if x is None else repr(x) if isinstance(x, float) and x == x else str(x)
+    assert sorted(map(tuple, made.collect()), key=str) == sorted((tuple(map(text, r)) for r in rows if any(x is not None for x in r)), key=str)
+    workbooks.write_workbook(df.limit(0), f"file://{tmp_path}/none.xlsx")
+    assert workbooks.read_workbook(spark, f"file://{tmp_path}/none.xlsx").count() == 0
+    assert workbooks.read_workbook(spark, f"file://{tmp_path}/*.xlsx").count() == len(rows) - 1
+
+
+def test_workbooks_of_other_programs(spark, tmp_path):
+    """Shared strings in parts, cells and rows left out, a second sheet by name, booleans and formula results."""
+    main = workbooks.MAIN
+    sheet = (
+        '<sheetData><row r="2"><c r="A2" t="s"><v>0</v></c><c r="C2" t="s"><v>1</v></c><c r="D2" t="s"><v>0</v></c></row>'
+        '<row r="5"><c r="B5"><f>1+1</f><v>2</v></c><c r="AA5" t="b"><v>1</v></c></row><row><c t="str"><v>x</v></c></row></sheetData>'
+    )
+    parts = workbooks.PARTS | {
+        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{workbooks.LINKS}"><sheets><sheet name="one" sheetId="1" r:id="rId9"/><sheet name="two" sheetId="2" r:id="rId1"/></sheets></workbook>',
+        "xl/sharedStrings.xml": f'<sst xmlns="{main}"><si><r><t>na</t></r><r><t>me</t></r><rPh><t>no</t></rPh></si><si><t> v </t></si></sst>',
+        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{main}">{sheet}</worksheet>',
+    }
+    with zipfile.ZipFile(tmp_path / "o.xlsx", "w") as book:
+        for name, text in parts.items():
+            book.writestr(name, text)
+    found = list(workbooks.sheet_rows((tmp_path / "o.xlsx").read_bytes(), "two"))
+    assert found == [[], ["name", None, " v ", "name"], [], [], [None, "2", *[None] * 24, "true"], ["x"]]
+    with pytest.raises(ValueError, match="no sheet"):
+        list(workbooks.sheet_rows((tmp_path / "o.xlsx").read_bytes(), "three"))
+    assert [workbooks.column_number(workbooks.column_letters(k) + "7") for k in range(2000)] == list(range(2000))
+
+
+def test_large_workbooks_are_streamed(spark, tmp_path):
+    n = 60_000
+    df = spark.range(n).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    workbooks.write_workbook(df, f"file://{tmp_path}/l.xlsx")
+    made = workbooks.read_workbook(spark, f"file://{tmp_path}/l.xlsx")
+    assert made.select(F.col("id").cast("long"), "h").exceptAll(df).count() == 0 and made.count() == n
