@@ -53,6 +53,19 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_heavy(left: DataFrame, right: DataFrame, key: str, share: int = 1000) -> DataFrame:
+    """Inner join of left with right(key, n, ...), whose keys differ and whose n is the number of left's rows of the key.
+    Keys with more than 1 / share of left's rows, which are fewer than `share` keys whatever the input, are broadcast, so that
+    their rows stay where they are; the others, of which none is large, meet by shuffle. left is read twice: a table."""
+    total = left.count()
+    heavy = right.where(F.col("n") * share > total).drop("n")
+    light = right.where(F.col("n") * share <= total).drop("n")
+    if heavy.isEmpty():
+        return left.join(light, key)
+    spared = left.join(F.broadcast(heavy.select(key)), key, "left_anti")
+    return left.join(F.broadcast(heavy), key).unionByName(spared.join(light, key))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

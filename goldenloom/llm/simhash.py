@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldenloom.llm.common import fresh, table
+from goldenloom.llm.common import fresh, join_heavy, table
 from goldenloom.llm.graph import components
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
@@ -136,10 +136,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     any other. A null id takes part in the links but is never a component_id unless all ids of its
     component are null. Other columns are ignored. An empty table gives an empty one."""
     prints = table(fingerprints(docs, id_col, text_col), "fingerprints")
-    found = components(links(prints.select("fp").distinct(), pair_limit))
-    grouped = prints.join(found.select(F.col("node").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = grouped.groupBy("component").agg(F.min("id").alias("component_id"))
-    return grouped.join(least, "component").select(
+    # Rows meet their fingerprint's component, and only fingerprints their component's least id.
+    each = table(prints.groupBy("fp").agg(F.min("id").alias("id"), F.count("*").alias("n")), "distinct-fingerprints")
+    found = components(links(each.select("fp"), pair_limit))
+    grouped = table(each.join(found.select(F.col("node").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp")), "fingerprint-components")
+    least = table(grouped.groupBy("component").agg(F.min("id").alias("component_id"), F.count("*").alias("n")), "component-ids")
+    known = join_heavy(grouped.select("component", "fp", F.col("n").alias("rows")), least, "component")
+    return join_heavy(prints, table(known.select("fp", F.col("rows").alias("n"), "component_id"), "fingerprint-ids"), "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
