@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldenloom.llm.common import fresh, named, table
+from goldenloom.llm.common import fresh, join_heavy, named, table
 
 MIN_WORDS = 50
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -77,12 +77,12 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     posted = table(narrow.mapInArrow(post, schema), "line-fingerprints")
     # A run may also repeat inside one document: then one fingerprint stands for equal spans.
     inside = F.max(F.expr("size(spans) - size(array_distinct(spans.h))"))
-    often = posted.groupBy("print").agg(F.count("*").alias("n"), inside.alias("again")).where("n > 1 or again > 0").select("print")
+    often = posted.groupBy("print").agg(F.count("*").alias("n"), inside.alias("again")).where("n > 1 or again > 0").select("print", "n")
     placed = table(
-        posted.join(often, "print").select("id", "text_hash", F.explode("spans").alias("s")).select("id", "text_hash", "s.h", "s.a", "s.z"), "line-spans")
+        join_heavy(posted, table(often, "line-repeated-fingerprints"), "print").select("id", "text_hash", F.explode("spans").alias("s")).select("id", "text_hash", "s.h", "s.a", "s.z"), "line-spans")
     place = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("text_hash"), F.col("a"))
-    earliest = placed.groupBy("h").agg(F.min(place).alias("earliest"), F.count("*").alias("n")).where("n > 1").select("h", "earliest")
-    later = placed.join(earliest, "h").where(place > F.col("earliest"))
+    earliest = placed.groupBy("h").agg(F.min(place).alias("earliest"), F.count("*").alias("n")).where("n > 1")
+    later = join_heavy(placed, table(earliest, "line-earliest-places"), "h").where(place > F.col("earliest"))
     return later.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("a", "z"))).alias("runs"))
 
 
