@@ -1,6 +1,7 @@
 """PII (2): information-theoretic sanitisation (after Sanchez and Batet's C-sanitisation, 2016).
 
-Patterns find the protected entities. Corpus counts over lines then tell how much a term gives away about
+Patterns find the protected entities; secrets (keys, tokens) are long strings whose own characters carry much information.
+Corpus counts over lines then tell how much a term gives away about
 a kind of entity: the point-wise mutual information PMI(kind; term) as a share of the kind's information
 content IC(kind). Terms over the threshold are spans too wherever they stand in a line with such an
 entity, and sanitised texts have entities generalised to their kind and such terms removed. DataFrame and
@@ -23,7 +24,15 @@ KINDS = (
     ("card", "t rlike '[0-9][ 0-9\\\\-]{10}'", r"[0-9](?:[\\x20\\-]?+[0-9])++", let("regexp_replace(m, '[^0-9]', '')", "d", "length(d) between 12 and 19 and luhn_check(d)")),
     ("phone", "contains(t, '+')", r"\\+[0-9][\\x20().0-9\\-]+[0-9]", "length(regexp_replace(m, '[^0-9]', '')) between 9 and 15"),
 )
-#: Terms are runs of at least four letters; a term's span is listed after the patterns' kinds.
+#: A secret: a long run with letters and digits in turn, whose characters carry this many bits by their own frequencies.
+_RUN, SECRET_CHARS, SECRET_TURNS, SECRET_BITS = r"A-Za-z0-9+/_=\\-", 20, 3, 64
+_BITS = let("split(m, '')", "cc", "aggregate(transform(array_distinct(cc), d -> size(filter(cc, c -> c = d)) / size(cc)), 0D, (a, p) -> a - p * log2(p)) * size(cc)")
+SECRET = (
+    "secret", f"t rlike '[{_RUN}]{{{SECRET_CHARS}}}'", rf"(?<![{_RUN}])[{_RUN}]{{{SECRET_CHARS},}}+",
+    f"size(regexp_extract_all(m, '[A-Za-z][0-9]', 0)) >= {SECRET_TURNS} and {_BITS} >= {SECRET_BITS}D",
+)
+PROTECTED = (*KINDS, SECRET)
+#: Terms are runs of at least four letters; a term's span is listed after the protected kinds.
 TERM = r"[\\p{L}]{4,}+"
 SHARE = 0.8
 MIN_TOGETHER = 5
@@ -51,9 +60,9 @@ def placed(text: str, pattern: str) -> str:
 
 
 def _base(text: str) -> str:
-    """SQL: sorted array of struct(s, k, e), the entities of all kinds; k is the kind's place in KINDS."""
+    """SQL: sorted array of struct(s, k, e), the entities of all kinds; k is the kind's place in PROTECTED."""
     parts = []
-    for k, (_, cheap, pattern, test) in enumerate(KINDS):
+    for k, (_, cheap, pattern, test) in enumerate(PROTECTED):
         found = f"transform(filter({placed('t', pattern)}, f -> {let('f.m', 'm', test)}), f -> named_struct('s', f.s, 'k', {k}, 'e', f.e))"
         parts.append(f"if({cheap}, {found}, cast(array() as array<struct<s:int,k:int,e:int>>))")
     return let(text, "t", f"array_sort(concat({', '.join(parts)}))")
@@ -106,26 +115,30 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share:
 
 
 def _joined(spans: str) -> str:
-    names = ", ".join(f"'{k}'" for k, *_ in KINDS)
+    names = ", ".join(f"'{k}'" for k, *_ in PROTECTED)
     return f"array_join(transform({spans}, x -> concat(element_at(array({names}, 'term'), x.k + 1), ':', x.s, ':', x.e)), ',')"
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term.
+    """Per document: id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret, n_term, n_spans. The first six are of
+    the patterns' kinds alone; secrets and terms are what the method adds.
 
     A null or empty text has no spans; repeated rows give repeated rows; rows equal in id and text share
     their terms; other columns are ignored. Places are code points, ends exclusive."""
-    every = "array_sort(concat(base, transform(terms, x -> named_struct('s', x.s, 'k', 4, 'e', x.e))))"
-    counts = [F.expr(f"cast(size(filter(base, x -> x.k = {k})) as long) as n_{kind[0]}") for k, kind in enumerate(KINDS)]
-    return find(docs, id_col, text_col).select(F.col("id").alias(id_col), *counts, F.sha2(F.expr(_joined("base")), 256).alias("base_sha256"), F.expr(f"{_joined(every)} as spans"), F.expr("cast(size(terms) as long) as n_term"))
+    every = f"array_sort(concat(base, transform(terms, x -> named_struct('s', x.s, 'k', {len(PROTECTED)}, 'e', x.e))))"
+    count = lambda k, name: F.expr(f"cast(size(filter(base, x -> x.k = {k})) as long) as n_{name}")
+    plain = f"filter(base, x -> x.k < {len(KINDS)})"
+    return find(docs, id_col, text_col).select(
+        F.col("id").alias(id_col), *(count(k, kind[0]) for k, kind in enumerate(KINDS)), F.sha2(F.expr(_joined(plain)), 256).alias("base_sha256"), F.expr(f"{_joined(every)} as spans"),
+        count(len(KINDS), "secret"), F.expr("cast(size(terms) as long) as n_term"), F.expr("cast(size(base) + size(terms) as long) as n_spans"))
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text): entities are replaced by their kind in brackets, disclosing terms by [...]. Of spans that
     overlap the first stays."""
     spans = find(docs, id_col, text_col)
-    names = ", ".join(f"'[{k}]'" for k, *_ in KINDS)
-    every = "array_sort(concat(base, transform(terms, x -> named_struct('s', x.s, 'k', 4, 'e', x.e))))"
+    names = ", ".join(f"'[{k}]'" for k, *_ in PROTECTED)
+    every = f"array_sort(concat(base, transform(terms, x -> named_struct('s', x.s, 'k', {len(PROTECTED)}, 'e', x.e))))"
     step = f"if(x.s < a.at, a, named_struct('at', x.e, 'v', concat(a.v, substring(t, a.at + 1, x.s - a.at), element_at(array({names}, '[...]'), x.k + 1))))"
     done = f"aggregate({every}, named_struct('at', 0, 'v', ''), (a, x) -> {step}, a -> concat(a.v, substring(t, a.at + 1)))"
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.expr(f"{text_of_sql(text_col)} as t"))

@@ -6,12 +6,14 @@ import math
 import random
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
-from goldenloom.llm import chat, negatives, periods, queries, warc
+from goldenloom.llm import chat, negatives, periods, pii, queries, warc
 
 DATA = "/root/testdata/sf0.001"
 CLASH = ("id", "row", "n", "v", "runs", "segments", "block", "rank", "a.b", "__id")
@@ -256,3 +258,60 @@ def test_many_members_are_read_in_time_in_proportion():
 
     seconds(100)
     assert seconds(16_000) < 30 * max(seconds(1_600), 0.05)
+
+
+# 2. Secrets and terms
+
+
+def entity_spans(t):
+    digits = lambda x: regex.sub("[^0-9]", "", x)
+    luhn = lambda d: sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    def secret(x):
+        n = Counter(x)
+        return len(regex.findall("[A-Za-z][0-9]", x)) >= 3 and -sum(c * math.log2(c / len(x)) for c in n.values()) >= 64
+
+    kinds = (
+        (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", lambda x: True), (r"[0-9]+(?:\.[0-9]+){3}", lambda x: all(int(p) <= 255 for p in x.split("."))),
+        (r"[0-9](?:[ -]?[0-9])+", lambda x: 12 <= len(digits(x)) <= 19 and luhn(digits(x))), (r"\+[0-9][ ().0-9-]+[0-9]", lambda x: 9 <= len(digits(x)) <= 15),
+        (r"[A-Za-z0-9+/_=-]{20,}", secret),
+    )
+    return sorted((m.start(), k, m.end()) for k, (pattern, good) in enumerate(kinds) for m in regex.finditer(pattern, t) if good(m[0]))
+
+
+def brute_spans(rows):
+    """Every span of each text by the method, with all lines counted one by one."""
+    words = lambda line: set(regex.findall(r"\p{L}{4,}", line.lower()))
+    alone, together, held, total, found = Counter(), Counter(), Counter(), 0, []
+    for _, text in rows:
+        text, at, lines = text or "", 0, []
+        entities = entity_spans(text)
+        for line in text.split("\n"):
+            kinds = {k for s, k, _ in entities if at <= s < at + len(line)}
+            lines.append((at, line, kinds))
+            alone.update(words(line))
+            held.update(kinds)
+            together.update((k, w) for k in kinds for w in words(line))
+            at += len(line) + 1
+        total += len(lines)
+        found.append((entities, lines))
+    risky = {(k, w) for (k, w), n in together.items() if n >= 5 and held[k] < total and math.log2(n * total / (alone[w] * held[k])) / math.log2(total / held[k]) >= 0.8 - 1e-12}
+    out = []
+    for entities, lines in found:
+        spots = {(at + m.start(), at + m.end()) for at, line, kinds in lines for m in regex.finditer(r"\p{L}{4,}", line) for k in kinds if (k, m[0].lower()) in risky}
+        free = [(s, 5, e) for s, e in spots if not any(a < e and s < z for a, _, z in entities)]
+        out.append(",".join(f"{('email', 'ip', 'card', 'phone', 'secret', 'term')[k]}:{s}:{e}" for s, k, e in sorted([*entities, *free])))
+    return out
+
+
+def test_all_spans_are_those_of_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()]
+    key = lambda i: hashlib.sha1(b"%d" % i).hexdigest()
+    rows += [(9000 + i, f"the vaultkey here = {key(i)} and MORE\nnext line {i}") for i in range(12)]
+    rows += [(9100 + i, f"write to deskmail u{i}@x.example.com or {key(90 + i)}@y.example.org\u00e9") for i in range(7)]
+    rows += [(9200, "a" * 40 + " " + "12345" * 6 + " a1b2c3" + "x" * 30), (9201, "pre/" + key(1) + "=="), (9202, None), (9203, "")]
+    got = {r.doc_id: r for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute_spans(rows)
+    assert [got[i].spans for i, _ in rows] == want
+    assert "term:4:12" in got[9000].spans and "secret:" in got[9000].spans and not got[9200].spans.count("secret") and sum("term" in w for w in want) >= 15
+    assert all(r.n_spans == (r.spans.count(":") // 2) and r.n_secret == r.spans.count("secret") for r in got.values())
