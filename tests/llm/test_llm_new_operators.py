@@ -13,7 +13,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from goldenloom.llm import chat, negatives, periods, pii, queries, warc
+from goldenloom.llm import chat, negatives, periods, pii, queries, similar, warc
 
 DATA = "/root/testdata/sf0.001"
 CLASH = ("id", "row", "n", "v", "runs", "segments", "block", "rank", "a.b", "__id")
@@ -315,3 +315,16 @@ def test_all_spans_are_those_of_brute_force(spark):
     assert [got[i].spans for i, _ in rows] == want
     assert "term:4:12" in got[9000].spans and "secret:" in got[9000].spans and not got[9200].spans.count("secret") and sum("term" in w for w in want) >= 15
     assert all(r.n_spans == (r.spans.count(":") // 2) and r.n_secret == r.spans.count("secret") for r in got.values())
+
+
+# Near-dedup of boilerplate
+
+
+def test_boilerplate_brings_no_pairs(spark):
+    """Texts of 32 common and 4 own words: none are similar, and all share their shingles but for the last."""
+    common = " ".join(f"c{k}" for k in range(32))
+    rows = [(i, f"{common} " + " ".join(f"w{i}x{k}" for k in range(4))) for i in range(6000)]
+    rows += [(10_000 + i, f"{common} " + " ".join(f"w{i}x{k}" for k in range(3)) + " z") for i in range(0, 6000, 600)]
+    began = time.time()
+    left = similar.drop_similar(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in left.select("doc_id").collect()) == list(range(6000)) and time.time() - began < 120
