@@ -79,14 +79,6 @@ def tfidf_candidates(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
     return few.select("raw", "g").join(b.select("std", "g"), "g").select("raw", "std").distinct()
 
 
-def cosine_top1(queries: DataFrame, items: DataFrame) -> DataFrame:
-    """queries(q, v) and items(i, w, block), with block on both sides: the nearest item of the query's block by
-    cosine, ties by id."""
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, r: p.cast("double") * r.cast("double")), F.lit(0.0), lambda s, p: s + p)
-    scored = queries.join(items, "block").where("q <> i").withColumn("score", F.try_divide(dot(F.col("v"), F.col("w")), F.sqrt(dot(F.col("v"), F.col("v")) * dot(F.col("w"), F.col("w")))))
-    return scored.groupBy("q").agg(F.min_by(F.struct("i", "score"), F.struct((-F.round("score", 9)).alias("s"), F.col("i"))).alias("b")).select("q", "b.*")
-
-
 def age_band(c: Column) -> Column:
     """'a-b' to (a, b); 'a+' to (a + 1, 100); else (value, value)."""
     n = lambda x: x.try_cast("int")

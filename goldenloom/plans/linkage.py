@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldenloom.operators import mapping, matching, resolve, similarity, windows
+from goldenloom.operators import mapping, matching, nearest, resolve, similarity, windows
 from goldenloom.plans.registry import Tables, query
 from goldenloom.sources import databases, files, tables, workbooks
 
@@ -64,6 +64,14 @@ def pair_comparators(t: Tables) -> DataFrame:
     return pairs.select("left", "right", F.round(similarity.set_similarity(a, b, " "), 6).alias("as_sets"), F.round(similarity.short_string(a, b), 6).alias("as_short"), F.round(similarity.partial_ratio(a, b), 6).alias("as_part"))
 
 
+@query("WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), s AS (SELECT a.vec_id AS q, b.vec_id AS i, round(list_cosine_similarity(a.v, b.v), 9) AS score FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id) SELECT q, i, round(score, 6) AS score FROM s QUALIFY row_number() OVER (PARTITION BY q ORDER BY score DESC, i) <= 5")
+def nearest_items(t: Tables) -> DataFrame:
+    """The five nearest of all rows, for the rows whose id is divisible by 50."""
+    items = t.embeddings.select(c("vec_id").alias("i"), c("embedding").alias("w"))
+    asked = items.where("i % 50 = 0").select(c("i").alias("q"), c("w").alias("v"))
+    return nearest.nearest(asked, items, 5).withColumn("score", F.round("score", 6))
+
+
 _PREP = "' ' || upper(substr({x}, 1, 1)) || substr({x}, 2) || ' '"
 _RAW = f"SELECT DISTINCT host AS raw, {_PREP.format(x="regexp_replace(lower(host), '[.]', '', 'g')")} AS t FROM h WHERE host <> ''"
 _STD = f"SELECT DISTINCT std, {_PREP.format(x="regexp_replace(lower(std), '[.]', '', 'g')")} AS t FROM (SELECT regexp_replace(host, '^(m|www)[.]', '') AS std FROM h WHERE host <> '')"

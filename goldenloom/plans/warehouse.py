@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldenloom.functions import keys, multi
-from goldenloom.operators import checks, history, mapping, metrics, resolve, similarity, windows
+from goldenloom.operators import checks, history, mapping, metrics, nearest, resolve, similarity, windows
 from goldenloom.operators.checks import Check
 from goldenloom.plans.registry import Tables, query
 from goldenloom.sources import files
@@ -439,7 +439,7 @@ def tfidf_cosine_top1(t: Tables) -> DataFrame:
 def cosine_top1(t: Tables) -> DataFrame:
     e = t.embeddings
     queries = e.where("vec_id % 50 = 0").select(c("vec_id").alias("q"), c("embedding").alias("v"), c("label").alias("block"))
-    return mapping.cosine_top1(queries, e.select(c("vec_id").alias("i"), c("embedding").alias("w"), c("label").alias("block"))).select("q", "i")
+    return nearest.nearest(queries, e.select(c("vec_id").alias("i"), c("embedding").alias("w"), c("label").alias("block")), block="block").select("q", "i")
 
 
 @query("SELECT p_partkey, ' ' || CASE p_partkey % 3 WHEN 0 THEN 'Zurich And ' || upper(p_name[1]) || lower(substr(split_part(p_name, ' ', 1), 2)) WHEN 1 THEN 'San Jos 12Th' ELSE 'A B C' END || ' ' AS g FROM part")

@@ -5,10 +5,11 @@ import math
 import random
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from goldenloom.operators import mapping, matching, metrics, resolve, similarity, windows
+from goldenloom.operators import mapping, matching, metrics, nearest, resolve, similarity, windows
 from goldenloom.plans import linkage
 from goldenloom.plans.registry import Tables
 from goldenloom.sources import databases, files, tables
@@ -164,6 +165,36 @@ def test_a_large_file_lands_by_many_tasks(spark, tmp_path):
     assert files.land(spark, f"file://{tmp_path}/y.csv", f"file://{tmp_path}/l2", multi_line=True).collect() == [("1", "two\nlines")]
 
 
+def near_by_force(rows, asked, k, same_block=False):
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v, _ in rows}
+    block = {i: b for i, _, b in rows}
+    out = []
+    for q in asked:
+        scores = sorted((-round(float(unit[q] @ unit[i]), 9), i) for i in unit if i != q and (not same_block or block[i] == block[q]))
+        out += [(q, i, s) for s, i in scores[:k]]
+    return sorted((q, i, round(-s, 6)) for q, i, s in out)
+
+
+def test_nearest_are_exact_and_cells_alone_nearly(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "ITEMS", 50)
+    monkeypatch.setattr(nearest, "QUERIES", 4)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(30, 8))
+    rows = [(i, (centres[i % 30] + 0.3 * rng.normal(size=8)).tolist(), "xy"[i % 2]) for i in range(1500)]
+    rows += [(5000 + i, [1.0, *[0.0] * 7], "x") for i in range(200)]
+    df = spark.createDataFrame([*rows, (9000, [0.0] * 8, "x"), (9001, None, "x"), (None, [1.0] * 8, "x"), (9002, [float("nan"), *[1.0] * 7], "y")], "i long, w array<double>, b string")
+    asked = df.where("i % 50 = 0").select(F.col("i").alias("q"), F.col("w").alias("v"), "b")
+    ids = [i for i, _, _ in rows if i % 50 == 0]
+    got = lambda **how: sorted((r.q, r.i, round(r.score, 6)) for r in nearest.nearest(asked, df, 5, **how).collect())
+    want = near_by_force(rows, ids, 5)
+    assert got() == want and got(block="b") == near_by_force(rows, ids, 5, True)
+    found = {(q, i) for q, i, _ in got(exact=False, probe=6)}
+    assert len(found & {(q, i) for q, i, _ in want}) >= 0.9 * len(want)
+    assert nearest.nearest(asked, df.where("false"), 5).count() == 0 == nearest.nearest(asked.where("false"), df, 5).count()
+    few = nearest.nearest(asked.where("q = 0"), df.where("i <= 2"), 5).collect()
+    assert len(few) == 2
+
+
 # The learned matcher
 
 
