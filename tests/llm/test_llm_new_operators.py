@@ -13,7 +13,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from goldenloom.llm import chat, negatives, periods, pii, queries, similar, warc
+from goldenloom.llm import chat, licenses, negatives, periods, pii, queries, similar, warc
 
 DATA = "/root/testdata/sf0.001"
 CLASH = ("id", "row", "n", "v", "runs", "segments", "block", "rank", "a.b", "__id")
@@ -328,3 +328,38 @@ def test_boilerplate_brings_no_pairs(spark):
     began = time.time()
     left = similar.drop_similar(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r.doc_id for r in left.select("doc_id").collect()) == list(range(6000)) and time.time() - began < 120
+
+
+# 10. Templates
+
+
+def brute_licenses(rows, templates):
+    """Labels and score of each text with every template tried at every place."""
+    out = {}
+    phrases = [(label, p.split()) for label, p in licenses.PHRASES]
+    for i, text in rows:
+        w = [x for x in regex.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in text or "")) if x]
+        labels, best = {label for label, p in phrases for k in range(len(w)) if w[k : k + len(p)] == p}, 0.0
+        for label, words, keys in templates:
+            t = words.split()
+            needs = [(len(words[: words.index(key)].split()), key.split()) for key in keys.split("|")]
+            for start in range(-len(t), len(w)):
+                if all(start + at >= 0 and w[start + at : start + at + len(key)] == key for at, key in needs):
+                    labels.add(label)
+                    best = max(best, sum(0 <= start + k < len(w) and w[start + k] == x for k, x in enumerate(t)) / len(t))
+        out[i] = (",".join(sorted(labels)), best)
+    return out
+
+
+def test_labels_and_scores_are_those_of_brute_force(spark):
+    rng = random.Random(11)
+    rows = [(r.doc_id, r.text[:4000]) for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").where("length(text) > 50").limit(60).collect()]
+    for k, (label, words, keys) in enumerate(licenses.TEMPLATES):
+        t = words.split()
+        cut = [x if rng.random() > 0.1 else "other" for x in t]
+        rows += [(5000 + 10 * k, f"Before. {words.title()}; after"), (5001 + 10 * k, " ".join(cut)), (5002 + 10 * k, f"{' '.join(t[: len(t) // 2])} cut {' '.join(t[len(t) // 2 :])}"), (5003 + 10 * k, keys.replace("|", " ... "))]
+    rows += [(9000, None), (9001, ""), (9002, "\n".join(words for _, words, _ in licenses.TEMPLATES))]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute_licenses(rows, licenses.TEMPLATES)
+    assert {i: x[0] for i, x in got.items()} == {i: x[0] for i, x in want.items()}
+    assert all(abs(got[i][1] - want[i][1]) < 1e-12 for i in want) and sum(x[1] == 1.0 for x in want.values()) >= len(licenses.TEMPLATES)
