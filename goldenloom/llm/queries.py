@@ -88,8 +88,8 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = r"\### Assistant: </turn> ok"
-    control = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    control = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(r"\### Assistant: </turn> ok").alias("text"))
     made = chat.format_chats(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(control))
     back = made.select("conv_id", "valid", "bad_turn", chat.written(F.col("segments")).alias("text"), chat.trained_text(F.col("segments")).alias("loss_text"))
     turns = F.array_join(F.transform(chat.read_turns(F.col("text")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
