@@ -13,7 +13,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from goldenloom.llm import chat, licenses, negatives, periods, pii, queries, similar, warc
+from goldenloom.llm import chat, licenses, negatives, periods, pii, quality, queries, similar, warc
 
 DATA = "/root/testdata/sf0.001"
 CLASH = ("id", "row", "n", "v", "runs", "segments", "block", "rank", "a.b", "__id")
@@ -363,3 +363,46 @@ def test_labels_and_scores_are_those_of_brute_force(spark):
     want = brute_licenses(rows, licenses.TEMPLATES)
     assert {i: x[0] for i, x in got.items()} == {i: x[0] for i, x in want.items()}
     assert all(abs(got[i][1] - want[i][1]) < 1e-12 for i in want) and sum(x[1] == 1.0 for x in want.values()) >= len(licenses.TEMPLATES)
+
+
+# 9. Verdicts
+
+
+def jensen_shannon(a, b):
+    if not sum(a) or not sum(b):
+        return None
+    p, q = [x / sum(a) for x in a], [x / sum(b) for x in b]
+    part = lambda x, m: x * math.log2(x / m) if x else 0.0
+    return math.sqrt(max(0.0, sum(part(x, (x + y) / 2) + part(y, (x + y) / 2) for x, y in zip(p, q)) / 2))
+
+
+def histograms(text, lang):
+    kinds = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t\n\x0b\x0c\r", ".,;:!?\"'()-", "#*$%&|<>@/\\[]{}=+_~^`" + "".join(map(chr, [*range(9), *range(14, 32), 127])))
+    n = Counter(text)
+    classes = [sum(n[c] for c in kind) for kind in kinds]
+    words, common = text.encode().split(), [w.encode() for w in quality.COMMON.get(lang, [])]
+    found = Counter(w for w in words if w in set(common))
+    bins = [len(words) - sum(found.values()), *(found[w] for w in common)]
+    return [*classes, len(text) - sum(classes)], [*bins, *[0] * (31 - len(bins))], len(words)
+
+
+def test_verdicts_are_those_of_brute_force(spark):
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{DATA.replace('0.001', '0.01')}/documents.parquet").collect()]
+    rows += [(9000, "the of and " * 40, "en"), (9001, "Zw9 " * 80, "en"), (9002, "| 17 | 23 " * 60, "xx"), (9003, None, "en"), (9004, "wort " + "und " * 70, None)]
+    got = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    made = {i: (lang if lang in quality.COMMON else "other", *histograms(t or "", lang if lang in quality.COMMON else "other"), len(t or "")) for i, t, lang in rows}
+    sums = {}
+    for lang, classes, bins, n, _ in made.values():
+        if n >= 50:
+            a, b = sums.setdefault(lang, ([0] * 7, [0] * 31))
+            sums[lang] = [x + y for x, y in zip(a, classes)], [x + y for x, y in zip(b, bins)]
+    rejected = 0
+    for i, (lang, classes, bins, n, chars) in made.items():
+        ref_classes, ref_bins = sums.get(lang, ([], []))
+        c, w, end = jensen_shannon(classes, ref_classes), jensen_shannon(bins, ref_bins), jensen_shannon([1, *[0] * 30], ref_bins)
+        assert (got[i].class_distance is None) == (c is None) and (c is None or abs(got[i].class_distance - c) < 1e-9) and (w is None or abs(got[i].word_distance - w) < 1e-9), i
+        rare = end is not None and w is not None and end >= 0.1 and w > 0.8 * end and 7 * (n - bins[0]) < (1 - ref_bins[0] / sum(ref_bins)) * n
+        far = chars >= 200 and (c or 0) > 0.35 or lang != "other" and n >= 60 and rare
+        assert got[i].kept == (not got[i].base_failed and not far), i
+        rejected += far and not got[i].base_failed
+    assert rejected > 20
