@@ -22,8 +22,16 @@ def scratch(spark: SparkSession) -> str:
     if not base:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="goldenloom-")
-    return f"{base.rstrip('/')}/goldenloom-files/{uuid.uuid4().hex}"
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="goldenloom-"))  # one for all of this session's files
+        base = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    return f"{base.rstrip('/')}/goldenloom-files/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Deletes the files of this application in the shared folder. Results read them until they are written: call it after
+    that; catalog tables saved there lose their rows too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch(spark)).getParent()
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame) -> DataFrame:

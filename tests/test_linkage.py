@@ -4,6 +4,8 @@ import itertools
 import math
 import random
 import statistics
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -294,3 +296,15 @@ def test_partitions_are_replaced_one_by_one(spark, tmp_path):
 def test_stored_rows_stay_as_drawn(spark):
     df = files.stored(spark.range(100).select(F.rand().alias("r")))
     assert df.collect() == df.collect()
+
+
+def test_intermediates_go_when_asked():
+    """In a session of its own process, as others' files are in the same folder."""
+    code = (
+        "from pyspark.sql import SparkSession; from goldenloom.sources import files; import os\n"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "kept = files.stored(s.range(3)); path = kept.inputFiles()[0].removeprefix('file://'); assert os.path.exists(path) and kept.count() == 3\n"
+        "other = files.stored(s.range(2)).inputFiles()[0].removeprefix('file://')\n"
+        "files.drop_intermediates(s); assert not os.path.exists(path) and not os.path.exists(other); print('gone')"
+    )
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120).stdout.endswith("gone\n")
