@@ -36,13 +36,24 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="goldenloom-")
-        spark.sparkContext.setCheckpointDir(found)
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="goldenloom-"))
+        found = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     return found.rstrip("/")
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables."""
+    return f"{shared_dir(spark)}/goldenloom/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/goldenloom/{name}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Deletes this application's intermediate tables. Results read them until they are written: call it after that."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
