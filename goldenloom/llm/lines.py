@@ -5,7 +5,8 @@ to it) with `min_words` words; every run of that many words is covered by spans
 stands around it. Of each span the line with the least hash is its fingerprint, so equal runs are sure to
 share fingerprints and most lines post nothing. Fingerprints seen once are dropped; the others' positions
 are joined with the spans that they stand for, equal spans are joined with their earliest place, and
-touching spans grow into the maximal repeated run, which goes from every later place."""
+touching spans grow into the maximal repeated run, which goes from every later place: a run's lines all stand in
+spans inside it, so this is the match extended both ways. Spans are equal if two 64-bit hashes of all their lines are."""
 
 from __future__ import annotations
 
@@ -25,14 +26,16 @@ _MULTIPLIER = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
-def spans(text: str | None, min_words: int = MIN_WORDS) -> dict[int, set[tuple[int, int, int]]]:
-    """By fingerprint, the spans (hash, first line, last line) that selected it."""
+def spans(text: str | None, min_words: int = MIN_WORDS) -> dict[int, set[tuple[int, int, int, int]]]:
+    """By fingerprint, the spans (hash, other hash, first line, last line) that selected it."""
     lines = (text or "").split("\n")
-    hashes, counts = [], []
+    hashes, others, counts = [], [], []
     for line in lines:
         words = line.split()
         counts.append(len(words))
-        hashes.append(xxhash.xxh64_intdigest(" ".join(words).encode("utf-8", "surrogatepass"), 4))
+        plain = " ".join(words).encode("utf-8", "surrogatepass")
+        hashes.append(xxhash.xxh64_intdigest(plain, 4))
+        others.append(xxhash.xxh64_intdigest(plain, 5))
     total = np.concatenate([[0], np.cumsum(counts)])
     n = len(lines)
     at = np.arange(n)
@@ -42,14 +45,15 @@ def spans(text: str | None, min_words: int = MIN_WORDS) -> dict[int, set[tuple[i
     found = {(int(a), int(z)) for a, z in zip(at[worded & (last < n)], last[worded & (last < n)])}
     enough = worded & (total[1:] >= min_words)
     found |= {(int(a), int(z)) for a, z in zip(first[enough], at[enough])}
-    prefix, power = [0], [1]
-    for h in hashes:
-        prefix.append((prefix[-1] * _MULTIPLIER + h) & _MASK)
+    power, first_of, other_of = [1], [0], [0]
+    for h, o in zip(hashes, others):
+        first_of.append((first_of[-1] * _MULTIPLIER + h) & _MASK)
+        other_of.append((other_of[-1] * _MULTIPLIER + o) & _MASK)
         power.append(power[-1] * _MULTIPLIER & _MASK)
-    out: dict[int, set[tuple[int, int, int]]] = {}
+    out: dict[int, set[tuple[int, int, int, int]]] = {}
     for a, z in found:
-        whole = (prefix[z + 1] - prefix[a] * power[z + 1 - a] + (z - a) * 0xD6E8FEB86659FD93) & _MASK
-        out.setdefault(min(hashes[a : z + 1]), set()).add((whole, a, z))
+        whole, other = ((of[z + 1] - of[a] * power[z + 1 - a] + (z - a) * 0xD6E8FEB86659FD93) & _MASK for of in (first_of, other_of))
+        out.setdefault(min(hashes[a : z + 1]), set()).add((whole, other, a, z))
     return out
 
 
@@ -57,9 +61,9 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(id, text_hash, runs): the first and last lines (from 0) of the runs to delete, for documents that
     have any. Places are ordered by id (null last), text hash and line."""
     id_type = docs.schema[id_col].dataType
-    span = T.ArrayType(T.StructType([T.StructField("h", T.LongType()), T.StructField("a", T.LongType()), T.StructField("z", T.LongType())]))
+    span = T.ArrayType(T.StructType([T.StructField("h", T.LongType()), T.StructField("o", T.LongType()), T.StructField("a", T.LongType()), T.StructField("z", T.LongType())]))
     schema = T.StructType([T.StructField("id", id_type), T.StructField("text_hash", T.LongType()), T.StructField("print", T.LongType()), T.StructField("spans", span)])
-    kind = pa.list_(pa.struct([("h", pa.int64()), ("a", pa.int64()), ("z", pa.int64())]))
+    kind = pa.list_(pa.struct([("h", pa.int64()), ("o", pa.int64()), ("a", pa.int64()), ("z", pa.int64())]))
     signed = lambda h: h - (1 << 64) if h >> 63 else h
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,7 +73,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 for h, found in spans(t.as_py(), min_words).items():
                     of.append(k)
                     prints.append(signed(h))
-                    lists.append([{"h": signed(w), "a": a, "z": z} for w, a, z in sorted(found)])
+                    lists.append([{"h": signed(w), "o": signed(o), "a": a, "z": z} for w, o, a, z in sorted(found)])
             take = pa.array(of, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(prints, pa.int64()), pa.array(lists, kind)], ["id", "text_hash", "print", "spans"])
 
@@ -79,10 +83,10 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     inside = F.max(F.expr("size(spans) - size(array_distinct(spans.h))"))
     often = posted.groupBy("print").agg(F.count("*").alias("n"), inside.alias("again")).where("n > 1 or again > 0").select("print", "n")
     placed = table(
-        join_heavy(posted, table(often, "line-repeated-fingerprints"), "print").select("id", "text_hash", F.explode("spans").alias("s")).select("id", "text_hash", "s.h", "s.a", "s.z"), "line-spans")
-    place = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("text_hash"), F.col("a"))
+        join_heavy(posted, table(often, "line-repeated-fingerprints"), "print").select("id", "text_hash", F.explode("spans").alias("s")).select("id", "text_hash", "s.h", "s.o", "s.a", "s.z"), "line-spans")
+    place = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("text_hash"), F.col("a"), F.col("o"))
     earliest = placed.groupBy("h").agg(F.min(place).alias("earliest"), F.count("*").alias("n")).where("n > 1")
-    later = join_heavy(placed, table(earliest, "line-earliest-places"), "h").where(place > F.col("earliest"))
+    later = join_heavy(placed, table(earliest, "line-earliest-places"), "h").where((place > F.col("earliest")) & (F.col("o") == F.col("earliest.o")))
     return later.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("a", "z"))).alias("runs"))
 
 
