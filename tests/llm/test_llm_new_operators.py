@@ -13,7 +13,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from goldenloom.llm import chat, licenses, negatives, periods, pii, quality, queries, similar, warc
+from goldenloom.llm import chat, common, licenses, negatives, periods, pii, quality, queries, simhash, similar, warc
 
 DATA = "/root/testdata/sf0.001"
 CLASH = ("id", "row", "n", "v", "runs", "segments", "block", "rank", "a.b", "__id")
@@ -406,3 +406,38 @@ def test_verdicts_are_those_of_brute_force(spark):
         assert got[i].kept == (not got[i].base_failed and not far), i
         rejected += far and not got[i].base_failed
     assert rejected > 20
+
+
+# Joins of hot keys
+
+
+def test_hot_keys_and_others_join_as_one(spark):
+    rows = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 2500).alias("k"), "id")
+    right = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("k % 7 <> 1")
+    for share in (1, 1000, 10**9):  # none, some and all of them hot
+        got = common.join_heavy(rows, right, "k", share)
+        assert sorted(map(tuple, got.select("k", "id", "first").collect())) == sorted(map(tuple, rows.join(right, "k").select("k", "id", "first").collect()))
+    assert common.join_heavy(rows.where("false"), right.where("false"), "k").count() == 0
+
+
+def test_near_duplicates_of_a_hot_print_and_many_others(spark):
+    """Beyond the share from which a print is hot, with brute force over the distinct ones."""
+    texts = [f"word{i} other{i} third{i} fourth{i}" for i in range(1500)] + ["the same text everywhere"] * 900
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(df).collect()}
+    prints = {i: simhash.fingerprint(t) for i, t in enumerate(texts)}
+    assert all(int(got[i][0], 16) == p for i, p in prints.items())
+    near, distinct = {}, sorted(set(prints.values()))
+    a = np.array(distinct, np.uint64)
+    for p in distinct:
+        near[p] = [int(x) for x in a[np.bitwise_count(a ^ np.uint64(p)) <= 2]]
+    least = {}
+    for i in sorted(prints):
+        if prints[i] not in least:
+            open_ = [prints[i]]
+            while open_:
+                p = open_.pop()
+                if p not in least:
+                    least[p] = i
+                    open_ += near[p]
+    assert all(got[i][1] == least[p] for i, p in prints.items())
