@@ -93,7 +93,10 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
     weak = classes.where(F.col("n_bad") < min_confidence * F.col("n"))
     held = table(_held(known.select("row", "tokens"), "row", weak), "url-classes")
     bad = held.join(known.where("bad").select("row"), "row", "left_semi").select(F.col("held").alias("items"))
-    found = FPGrowth(minSupport=min(1.0, (need - 0.5) / n_bad), minConfidence=1.0, itemsCol="items").fit(table(bad, "bad-urls")).freqItemsets.where("size(items) > 1")
+    # Trees are grown for groups of classes apart; by default there would be as many tasks as files of bad urls, often one.
+    tasks = int(known.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    growth = FPGrowth(minSupport=min(1.0, (need - 0.5) / n_bad), minConfidence=1.0, itemsCol="items", numPartitions=tasks)
+    found = growth.fit(table(bad, "bad-urls")).freqItemsets.where("size(items) > 1")
     sets = found.select(F.array_sort("items").alias("classes"), F.col("freq").alias("n_bad"))
     rarest = sets.select("classes", "n_bad", F.explode("classes").alias("cls")).join(each.select("cls", "n"), "cls").groupBy("classes", "n_bad").agg(F.min_by("cls", F.struct("n", "cls")).alias("rarest"))
     rarest = table(rarest, "url-itemsets")
