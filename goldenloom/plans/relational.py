@@ -423,6 +423,14 @@ def schema_only(t: Tables) -> DataFrame:
     return t.region.limit(0)
 
 
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT s_suppkey, NULL, NULL, s_acctbal FROM supplier")
+def schema_clone(t: Tables) -> DataFrame:
+    """An empty clone of a table's schema takes rows of the table and of another one, which lacks some of its columns."""
+    clone = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice").limit(0)
+    other = t.supplier.select(c("s_suppkey").alias("o_orderkey"), c("s_acctbal").alias("o_totalprice"))
+    return clone.unionByName(t.orders.where("o_orderstatus = 'F'").select(*clone.columns)).unionByName(other, allowMissingColumns=True)
+
+
 @query("SELECT event_type, max(event_id) AS last_id FROM events WHERE value > 0 GROUP BY 1")
 def latest_cycle(t: Tables) -> DataFrame:
     return t.events.where("value > 0").groupBy("event_type").agg(F.max_by("event_id", "event_id").alias("last_id"))
