@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goldenloom.sources import files
+
 # How each platform's addresses begin, and its driver class.
 PLATFORMS = {
     "oracle": ("jdbc:oracle:thin:@//{host}:{port}/{name}", "oracle.jdbc.OracleDriver"),
@@ -55,11 +57,27 @@ def load_new(spark: SparkSession, at: dict[str, str], query: str, column: str, t
     new = read_parts(spark, at, wanted, column, parts, **options)
     before = set(spark.read.parquet(target).inputFiles()) if loaded else set()
     new.write.mode("append").parquet(target)
-    files = sorted(set(spark.read.parquet(target).inputFiles()) - before)
-    return spark.read.schema(new.schema).parquet(*files) if files else new.limit(0)
+    added = sorted(set(spark.read.parquet(target).inputFiles()) - before)
+    return spark.read.schema(new.schema).parquet(*added) if added else new.limit(0)
 
 
 def write_table(df: DataFrame, at: dict[str, str], table: str, types: str | None = None, parts: int = 8, mode: str = "overwrite") -> None:
     """df as a database table, by at most `parts` connections at once; types: the database's column types."""
     options = {"createTableColumnTypes": types} if types else {}
     df.coalesce(parts).write.format("jdbc").options(**at, dbtable=table, batchsize="5000", **options).mode(mode).save()
+
+
+def unload(spark: SparkSession, at: dict[str, str], query: str, column: str, path: str, values: dict[str, str], parts: int = 8, **run: str) -> DataFrame:
+    """A query's rows, with its $$names by their values, as Parquet under `path` in the partition of the run
+    (pt_data_dt="...", pt_cycle_id="..."), which is replaced; other runs stay. Read and written by ranges of the column."""
+    rows = read_parts(spark, at, files.render(query, values), column, parts)
+    folder = "/".join([path.rstrip("/"), *(f"{k}={v}" for k, v in run.items())])
+    rows.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
+def copy_into(spark: SparkSession, path: str, at: dict[str, str], table: str, types: str | None = None, parts: int = 8, mode: str = "overwrite", **run: str) -> int:
+    """The rows of one run under `path` into a database table; how many there were. Names go as the database has unquoted ones."""
+    rows = files.read_runs(spark, path, **run).drop(*run)
+    write_table(rows.toDF(*(c.upper() for c in rows.columns)), at, table, types, parts, mode)
+    return rows.count()

@@ -275,6 +275,17 @@ def test_loads_take_only_what_is_new(spark, tmp_path):
     assert load() == [(3, "c")] and spark.read.parquet(target).count() == 3
 
 
+def test_runs_are_unloaded_and_copied_apart(spark, tmp_path):
+    at, path = databases.address("derby", "runs"), f"file://{tmp_path}/runs"
+    databases.write_table(spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "ID long, V string"), at, "T", "ID BIGINT, V VARCHAR(9)")
+    out = lambda v, day: databases.unload(spark, at, "SELECT ID, V FROM T WHERE V = '$$v'", "ID", path, {"v": v}, pt_data_dt=day).count()
+    assert (out("a", "d1"), out("b", "d2"), out("none", "d3"), out("a", "d2")) == (1, 2, 0, 1)
+    assert databases.copy_into(spark, path, at, "D2", "ID BIGINT, V VARCHAR(9)", pt_data_dt="d2") == 1
+    assert databases.read_query(spark, at, "SELECT * FROM D2").collect() == [(1, "a")] and spark.read.parquet(path).count() == 2
+    with pytest.raises(ValueError):
+        databases.unload(spark, at, "SELECT ID FROM T WHERE V = '$$x'", "ID", path, {}, pt_data_dt="d1")
+
+
 def test_bucketed_join_has_no_shuffle(spark):
     plan = linkage.bucketed_join(Tables(spark, DATA))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
