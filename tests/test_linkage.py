@@ -72,6 +72,40 @@ def test_one_block_is_many_even_tasks(spark):
     assert tiles.agg(F.max("count")).first()[0] <= 64 * 64 and tiles.count() == 66
 
 
+@pytest.mark.parametrize("known", [0, 250_000])
+def test_scores_of_values_reach_all_their_pairs(spark, monkeypatch, known):
+    monkeypatch.setattr(similarity, "KNOWN", known)
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["a", "a", "a", "b", None]), rng.choice(["red ring", "ring red", "old pin", "", None])) for i in range(300)] + [(7, "a", "old pin"), (None, "a", "x")]
+    df = spark.createDataFrame(rows, "id long, k string, v string")
+    code = lambda x, y: F.concat_ws("|", F.coalesce(x, F.lit("-")), F.coalesce(y, F.lit("-")))
+    got = similarity.scored_pairs(df, "id", ["k"], "v", lambda x, y: {"s": code(x, y)}, symmetric=False, tile=16)
+    text = lambda v: "-" if v is None else v
+    have = [r for r in rows if r[0] is not None and r[1] is not None]
+    want = sorted((x[0], y[0], f"{text(x[2])}|{text(y[2])}") for x in have for y in have if x[1] == y[1] and x[0] < y[0])
+    assert sorted(map(tuple, got.select("left", "right", "s").collect())) == want
+    some = similarity.scored_pairs(df, "id", ["k"], "v", lambda x, y: {"s": F.levenshtein(x, y)}, lambda s: s["s"] == 0, tile=16)
+    alike = sorted((x[0], y[0], 0) for x in have for y in have if x[1] == y[1] and x[0] < y[0] and x[2] == y[2] is not None)
+    assert sorted(map(tuple, some.collect())) == alike
+    assert similarity.scored_pairs(df.where("false"), "id", ["k"], "v", lambda x, y: {"s": F.levenshtein(x, y)}).count() == 0
+
+
+def test_fuzzy_pairs_of_a_block_of_copies(spark):
+    n = 4000
+    df = spark.range(n).select("id", F.lit("all").alias("k"), F.when(F.col("id") % 2 == 0, "large ring").otherwise("cold plate").alias("v"))
+    assert similarity.fuzzy_pairs(df, "id", "v", ["k"], 0.9).count() == 2 * (n // 2) * (n // 2 - 1) // 2
+
+
+def test_links_of_a_block_grow_with_its_rows(spark):
+    n = 3000
+    df = spark.range(n).select("id", F.lit("all").alias("k"), F.when(F.col("id") % 3 == 0, "small").when(F.col("id") % 3 == 1, "smalls").otherwise("economy").alias("v"))
+    links = similarity.block_links(df, "id", ["k"], "v", resolve.similarity, 0.8)
+    assert links.count() == n - 3 + 1  # copies, and small with smalls
+    folder = files.scratch(spark)
+    got = resolve.clusters(df.select("id"), links, lambda k: f"{folder}/{k}")
+    assert sorted(map(tuple, got.collect())) == [(i, 2 if i % 3 == 2 else 0) for i in range(n)]
+
+
 def test_sorted_neighbours_over_borders(spark):
     rng = random.Random(1)
     rows = [(i, rng.choice([None, "a", "b", "c", "d"])) for i in range(500)]
