@@ -12,6 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from goldenloom.functions.keys import let
+from goldenloom.sources import files
+
 
 @dataclass(frozen=True)
 class Comparison:
@@ -23,7 +26,7 @@ class Comparison:
 
     def level(self) -> Column:
         """0 for the least alike; -1 for missing."""
-        return F.when(self.score.isNull(), F.lit(-1)).otherwise(sum((F.when(self.score >= cut, 1).otherwise(0) for cut in self.cuts), F.lit(0)))
+        return let(self.score, lambda s: F.when(s.isNull(), F.lit(-1)).otherwise(sum((F.when(s >= cut, 1).otherwise(0) for cut in self.cuts), F.lit(0))))
 
 
 @dataclass(frozen=True)
@@ -92,7 +95,7 @@ def match(pairs: DataFrame, comparisons: list[Comparison], recall_weight: float
     pattern, at most the product of the fields' levels and missing marks, whatever the number of pairs."""
     levels = [len(c.cuts) + 1 for c in comparisons]
     names = [f"_level_{k}" for k in range(len(comparisons))]
-    leveled = pairs.withColumns({n: c.level() for n, c in zip(names, comparisons)})
+    leveled = files.stored(pairs.withColumns({n: c.level() for n, c in zip(names, comparisons)}))  # compared once
     patterns = {tuple(r[n] for n in names): r["_n"] for r in leveled.groupBy(*names).agg(F.count("*").alias("_n")).collect()}
     model = learn(patterns, levels)
     least = threshold(patterns, model, recall_weight)

@@ -41,6 +41,23 @@ def test_no_similar_pair_is_lost(spark, least):
         similarity.similar_names(df, "name", 0.5)
 
 
+@pytest.mark.parametrize("common", [0, 5])
+@pytest.mark.parametrize("least", [0.6, 0.8])
+def test_no_similar_pair_is_lost_among_common_stretches_and_words(spark, monkeypatch, common, least):
+    monkeypatch.setattr(similarity, "COMMON", common)
+    monkeypatch.setattr(similarity, "MOST_EDITS", 3)
+    test_no_similar_pair_is_lost(spark, least)
+
+
+def test_short_names_meet_on_few_rows(spark):
+    """Of random names nearly all that meet on the rarest grams have other stretches."""
+    rng = random.Random(4)
+    names = ["".join(rng.choice("abcdefghijklmnop") for _ in range(15)) for _ in range(3000)]
+    df = spark.createDataFrame([(n,) for n in [*names, names[0][:7] + names[0][8:], "zz" + names[1]]], "t string")
+    pairs, rest = similarity._stretches(df, 0.8)
+    assert rest.count() == 0 and sorted(map(tuple, pairs.collect())) == sorted(tuple(sorted(p)) for p in ((names[0], names[0][:7] + names[0][8:]), (names[1], "zz" + names[1])))
+
+
 def test_comparators(spark):
     rows = [("a b|c", "C|a b| ", "Main St", "Main Street", "abc", "xxabdxx"), ("", "x", "", "", "", "ab"), (None, "x", None, "y", None, "y"), ("A", "a", "Main", "main", "same", "same")]
     df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string, f string")
