@@ -37,6 +37,11 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     ends = list(itertools.accumulate([len(w) + 1 for w in words]))
     starts = [0, *ends]
     hashes = np.array([digest(joined[a:b], 42) for a, b in zip(starts, [e - 1 for e in ends[width - 1:]])], dtype="<u8")
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of unsigned hashes: a bit is 1 if set in over half of them."""
     ones = np.zeros(64, np.int64)
     for k in range(0, len(hashes), 1 << 16):
         part = hashes[k : k + (1 << 16)]

@@ -1,6 +1,7 @@
-"""Near-dedup by exact similarity: texts whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more.
+"""Near-dedup by SimHash, made exact: texts whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more.
 
-Fingerprints only estimate similarity, so texts are found by prefix filtering, which misses no pair: with the
+Texts whose SimHash fingerprints differ in two bits at most (simhash.py) are candidates first. Fingerprints only estimate
+similarity, so the pairs that they miss are found by prefix filtering, which misses none: with the
 shingles of every set in one order, two sets of n and m shingles that are so similar share one among their first
 n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1. Shingles that are frequent in a sample come last in the order, which keeps
 buckets small; the sample changes the work, not the result. At a pair's first shared shingle the smaller set has no more
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 
 from goldenloom.llm.common import table
 from goldenloom.llm.graph import components
+from goldenloom.llm import simhash
 from goldenloom.llm.simhash import one_of_each
 
 WIDTH = 5
@@ -62,26 +64,27 @@ def _frequent(docs: DataFrame, text: str, width: int) -> tuple[np.ndarray, np.nd
 
 
 def _prefixes(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, text_hash, node, n, prefix): node stands for the set, n is its size; one row per input row."""
+    """(id, text_hash, node, n, fp, prefix): node stands for the set, n is its size, fp its SimHash; one row per input row."""
     keys, counts = _frequent(docs, text_col, width)
     num, den = LEAST
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            nodes, sizes, prefixes = [], [], []
+            nodes, sizes, prints, prefixes = [], [], [], []
             for t in b.column(2):
                 s = shingles(t.as_py(), width)
                 nodes.append(xxhash.xxh64_intdigest(s.tobytes(), 42))
                 sizes.append(len(s))
+                prints.append(simhash.majority(s.view("<u8")))
                 if len(keys):
                     at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
                     s = s[np.argsort(np.where(keys[at] == s, counts[at], 0), kind="stable")]
                 prefixes.append(s[: len(s) - -(-num * len(s) // den) + 1])
-            made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *made], ["id", "text_hash", "node", "n", "prefix"])
+            made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(prefixes, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *made], ["id", "text_hash", "node", "n", "fp", "prefix"])
 
     narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
-    kind = [narrow.schema["id"], narrow.schema["text_hash"], T.StructField("node", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("prefix", T.ArrayType(T.LongType()))]
+    kind = [narrow.schema["id"], narrow.schema["text_hash"], T.StructField("node", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("fp", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType()))]
     return narrow.mapInArrow(run, T.StructType(kind))
 
 
@@ -152,13 +155,23 @@ def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, text_col: str,
     return table(both.select("a", "b", "wa", "wb").mapInArrow(verify, "a long, b long"), "similar-pairs")
 
 
+def _close(nodes: DataFrame) -> DataFrame:
+    """(a, b) of nodes(node, fp) with close fingerprints: those of one fingerprint with its least node, and the least nodes of
+    linked fingerprints."""
+    first = table(nodes.groupBy("fp").agg(F.min("node").alias("first")), "similar-fingerprints")
+    same = nodes.join(first, "fp").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    of = lambda n: first.select(F.col("fp").alias(n), F.col("first").alias(f"node_{n}"))
+    near = simhash.links(first.select("fp")).join(of("a"), "a").join(of("b"), "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    return same.union(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def links(rows: DataFrame, docs: DataFrame, text_col: str = "text", width: int = WIDTH, pair_limit: int = 64) -> DataFrame:
-    """rows(row, node, n, prefix, text_hash) of docs, row differing. Returns links (a, b) of nodes whose components are those
+    """rows(row, node, n, fp, prefix, text_hash) of docs, row differing. Returns links (a, b) of nodes whose components are those
     of all similar pairs."""
     # Of equal sets one row stands for all.
     first = rows.groupBy("node").agg(F.min("row").alias("first"), F.count("*").alias("m")).where("m > 1").select("node", "first")
     copies = table(rows.select("row", "node").join(first, "node").where("row <> first").select("row"), "similar-copies")
-    nodes = table(rows.select("row", "node", "text_hash").join(copies, "row", "left_anti"), "similar-nodes")
+    nodes = table(rows.select("row", "node", "text_hash", "fp").join(copies, "row", "left_anti"), "similar-nodes")
     # Most shingles of a prefix stand in one set: counted first, with nothing beside them, few need their sets. Rows' numbers,
     # which follow each other, and half of a shingle's hash take the least room where all prefixes move; a bucket
     # may so hold two shingles, which brings candidates, no results. Copies count too, and go from what is left.
@@ -171,7 +184,7 @@ def links(rows: DataFrame, docs: DataFrame, text_col: str = "text", width: int =
     pairs = _led(small, small)
     ends = large.groupBy("s").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     stars = large.join(ends, "s").select(F.col("node").alias("u"), F.explode(F.array("lo", "hi")).alias("v")).where("u <> v").select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
-    found = _similar(pairs.union(stars), nodes, docs, text_col, width)
+    found = _similar(_close(nodes).union(pairs).union(stars), nodes, docs, text_col, width)
     if large.isEmpty():
         return found
     named = large.join(components(found).withColumnRenamed("node", "u"), F.col("node") == F.col("u"), "left").withColumn("c", F.coalesce("component", "node")).select("s", "node", "n", "pos", "c")

@@ -422,6 +422,16 @@ def test_near_dedup_misses_no_similar_pair(spark, docs, limit):
     assert 200 < len(want) + 20 < len(given) and sorted(r["doc_id"] for r in got.collect()) == want
 
 
+def test_near_dedup_looks_at_close_fingerprints(spark):
+    words = [f"w{k}" for k in range(2000)]
+    given = [(1, " ".join(words)), (2, " ".join([*words[:-1], "last"])), (3, " ".join(f"v{k}" for k in range(50))), (4, "")]
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    rows = {r["id"]: r for r in similar._prefixes(docs, "doc_id", "text", 5).collect()}
+    assert rows[1]["fp"] & (2**64 - 1) == simhash.fingerprint(given[0][1], 5) and (rows[1]["fp"] ^ rows[2]["fp"]).bit_count() <= 2
+    pairs = similar._close(spark.createDataFrame(list(rows.values())))
+    assert [tuple(p) for p in pairs.collect()] == [tuple(sorted((rows[1]["node"], rows[2]["node"])))]
+
+
 def test_pipeline_drops_similar_documents(spark):
     import corpus_pipeline
 
