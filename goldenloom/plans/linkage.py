@@ -141,8 +141,8 @@ _ORDERS = "O_ORDERKEY BIGINT, O_CUSTKEY BIGINT, O_ORDERSTATUS VARCHAR(8), O_TOTA
 
 
 def database(t: Tables) -> dict[str, str]:
-    """A database in this process's memory, with the table orders; a real one stands on its own host."""
-    at = databases.address("derby", files.scratch(t.spark).rsplit("/", 1)[-1])
+    """A database in the shared folder, with the table orders; a real one stands on its own host."""
+    at = databases.files_database(t.spark)
     rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     databases.write_table(rows.toDF(*(x.upper() for x in rows.columns)), at, "ORDERS", _ORDERS)  # as unquoted names are
     return at
@@ -150,7 +150,7 @@ def database(t: Tables) -> dict[str, str]:
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'P'")
 def jdbc_parts(t: Tables) -> DataFrame:
-    at = database(t)
+    at = databases.archived(t.spark, database(t))
     return databases.read_parts(t.spark, at, "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders", "o_orderkey", 6).where("o_orderstatus <> 'P'").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
 
 

@@ -1,7 +1,16 @@
-"""Databases over JDBC: parallel reads by ranges of a column, pushed filters, and loads of what is new."""
+"""Databases over JDBC: parallel reads by ranges of a column, pushed filters, and loads of what is new.
+
+Derby, which Spark brings, has no server: one process at a time may write to its files. On a cluster that is the
+driver, which imports what the executors have staged; they read an archive of the database, which any number may open."""
 
 from __future__ import annotations
 
+import os
+import re
+import zipfile
+from urllib.parse import unquote, urlparse
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +22,8 @@ PLATFORMS = {
     "mysql": ("jdbc:mysql://{host}:{port}/{name}", "com.mysql.cj.jdbc.Driver"),
     "teradata": ("jdbc:teradata://{host}/DATABASE={name},DBS_PORT={port}", "com.teradata.jdbc.TeraDriver"),
     "derby": ("jdbc:derby:memory:{name};create=true", "org.apache.derby.jdbc.EmbeddedDriver"),
+    "derby_files": ("jdbc:derby:directory:{name};create=true", "org.apache.derby.jdbc.EmbeddedDriver"),
+    "derby_archive": ("jdbc:derby:jar:({name})db", "org.apache.derby.jdbc.EmbeddedDriver"),
 }
 
 
@@ -62,11 +73,74 @@ def load_new(spark: SparkSession, at: dict[str, str], query: str, column: str, t
 
 
 def write_table(df: DataFrame, at: dict[str, str], table: str, types: str | None = None, parts: int = 8, mode: str = "overwrite") -> None:
-    """df as a database table, by at most `parts` connections at once; types: the database's column types."""
+    """df as a database table, by at most `parts` connections at once; types: the database's column types. Derby in files
+    takes no connections of executors: they stage the rows in `parts` files, which it imports one after the other."""
     options = {"createTableColumnTypes": types} if types else {}
+    if _folder(at):
+        df.limit(0).write.format("jdbc").options(**at, dbtable=table, **options).mode(mode).save()  # the table; no task
+        return _import(df, at, table, parts)
     df.coalesce(parts).write.format("jdbc").options(**at, dbtable=table, batchsize="5000", **options).mode(mode).save()
 
 
+def _folder(at: dict[str, str]) -> str | None:
+    """Where Derby's files are, if it is in files."""
+    found = re.match("jdbc:derby:directory:([^;]+)", at["url"])
+    return found[1] if found else None
+
+
+def _call(spark: SparkSession, url: str, statement: str | None = None) -> None:
+    """A statement, if any, by a connection of the driver's process to Derby."""
+    connection = spark._jvm.org.apache.derby.jdbc.EmbeddedDriver().connect(url, spark._jvm.java.util.Properties())
+    try:
+        if statement:
+            connection.createStatement().execute(statement)
+    finally:
+        connection.close()
+
+
+def _local(path: str) -> str:
+    """A path of the shared folder as Derby opens it, which knows no other stores."""
+    parts = urlparse(path)
+    if parts.scheme not in ("", "file"):
+        raise ValueError(f"Derby needs a shared folder that is mounted (file:), not {path}")
+    return unquote(parts.path)
+
+
+def _import(df: DataFrame, at: dict[str, str], table: str, parts: int) -> None:
+    """Appends df to a table of Derby in files. All values are quoted, and nulls are the fields without quotes."""
+    staged = files.scratch(df.sparkSession)
+    fields = [F.coalesce(F.concat(F.lit('"'), F.replace(F.col(f"`{n}`").cast("string"), F.lit('"'), F.lit('""')), F.lit('"')), F.lit("")) for n in df.columns]
+    df.select(F.concat_ws(",", *fields)).coalesce(parts).write.text(staged)
+    schema, _, name = (x if x.startswith('"') else x.upper() for x in table.rpartition("."))
+    text = lambda x: "'" + x.replace("'", "''") + "'" if x else "null"
+    into = f"{text(schema.strip(chr(34)))}, {text(name.strip(chr(34)))}, {text(','.join(df.columns))}"
+    for part in sorted(x for x in os.listdir(_local(staged)) if x.startswith("part-")):
+        _call(df.sparkSession, at["url"], f"CALL SYSCS_UTIL.SYSCS_IMPORT_DATA({into}, null, {text(f'{_local(staged)}/{part}')}, ',', '\"', 'UTF-8', 0)")
+
+
+def files_database(spark: SparkSession) -> dict[str, str]:
+    """A new Derby database in the shared folder, which the driver alone may open."""
+    return address("derby_files", _local(files.scratch(spark)))
+
+
+def archived(spark: SparkSession, at: dict[str, str]) -> dict[str, str]:
+    """The address of an archive of a Derby database in files as it is now, which all processes may read at once. It is
+    closed for that, so that nothing needs to be recovered, and packed without compression, so that pages are read where they are."""
+    folder = _folder(at)
+    try:
+        _call(spark, f"jdbc:derby:directory:{folder};shutdown=true")
+    except Py4JJavaError as e:
+        if e.java_exception.getSQLState() != "08006":  # how Derby says that a database was closed
+            raise
+    path = _local(files.scratch(spark)) + ".jar"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as z:
+        for top, _, names in os.walk(folder):
+            for full in [top, *(os.path.join(top, n) for n in sorted(names))]:
+                z.write(full, os.path.normpath(os.path.join("db", os.path.relpath(full, folder))))
+    return address("derby_archive", path)
+
+
 def unload(spark: SparkSession, at: dict[str, str], query: str, column: str, path: str, values: dict[str, str], parts: int = 8, **run: str) -> DataFrame:
     """A query's rows, with its $$names by their values, as Parquet under `path` in the partition of the run
     (pt_data_dt="...", pt_cycle_id="..."), which is replaced; other runs stay. Read and written by ranges of the column."""

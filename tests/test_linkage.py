@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from goldenloom.operators import mapping, matching, metrics, nearest, resolve, similarity, windows
 from goldenloom.plans import linkage
-from goldenloom.plans.registry import Tables
+from goldenloom.plans.registry import ORACLE_SQL, Tables
 from goldenloom.sources import databases, files, tables
 
 DATA = "/root/testdata/sf0.001"
@@ -337,6 +337,46 @@ def test_runs_are_unloaded_and_copied_apart(spark, tmp_path):
         databases.unload(spark, at, "SELECT ID FROM T WHERE V = '$$x'", "ID", path, {}, pt_data_dt="d1")
 
 
+def test_derby_in_files_imports_all_values(spark):
+    at = databases.files_database(spark)
+    rows = [(1, 'a "b", c', 1e-7), (2, " \n x ' ", None), (3, "", -2.5), (None, None, None), (5, "é", 0.1 + 0.2)]
+    put = lambda rows, mode: databases.write_table(spark.createDataFrame(rows, "ID long, V string, D double"), at, "Copied", "ID BIGINT, V VARCHAR(20), D DOUBLE", mode=mode)
+    put([(9, "old", 0.0)], "overwrite"), put(rows, "overwrite"), put([], "append")
+    old = databases.archived(spark, at)
+    databases.write_table(spark.createDataFrame([("last", 7)], "V string, ID long"), at, "Copied", mode="append")
+    found = lambda at: sorted(map(tuple, databases.read_query(spark, at, "SELECT ID, V, D FROM Copied").collect()), key=str)
+    assert found(old) == sorted(rows, key=str)
+    assert found(databases.archived(spark, at)) == sorted([*rows, (7, "last", None)], key=str)
+
+
+def test_rows_of_one_null_are_imported(spark):
+    at = databases.files_database(spark)
+    databases.write_table(spark.createDataFrame([("a",), (None,), ("",)], "V string"), at, "T", "V VARCHAR(9)")
+    assert sorted(databases.read_query(spark, databases.archived(spark, at), "SELECT V FROM T").collect(), key=str) == [("",), ("a",), (None,)]
+
+
+ON_EXECUTORS = """
+import sys
+from pyspark.sql import SparkSession
+from goldenloom.plans import catalog
+shared, data = sys.argv[1:]
+conf = {"spark.executor.memory": "600m", "spark.checkpoint.dir": f"file://{shared}", "spark.ui.enabled": "false", "spark.driver.host": "127.0.0.1"}
+spark = SparkSession.builder.master("local-cluster[2,2,1000]").config(map=conf).getOrCreate()
+for name in ("jdbc_parts",):
+    catalog.QUERIES[name](spark, data).write.parquet(f"file://{shared}/{name}")
+"""
+
+
+def test_databases_are_read_by_executors_of_their_own(spark, tmp_path):
+    import duckdb
+
+    subprocess.run([sys.executable, "-c", ON_EXECUTORS, str(tmp_path), DATA], cwd=tmp_path, check=True, timeout=300)
+    for name in ("jdbc_parts",):
+        con = duckdb.connect()
+        con.execute(f"create view orders as select * from '{DATA}/orders.parquet'")
+        assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/{name}").collect())) == sorted(con.execute(ORACLE_SQL[name]).fetchall())
+
+
 def test_bucketed_join_has_no_shuffle(spark):
     plan = linkage.bucketed_join(Tables(spark, DATA))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
