@@ -157,7 +157,7 @@ def jdbc_parts(t: Tables) -> DataFrame:
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) FROM orders WHERE o_totalprice < 30000)")
 def jdbc_incremental(t: Tables) -> DataFrame:
     """A second load takes what lies above the first one's greatest key."""
-    at, target = database(t), files.scratch(t.spark)
+    at, target = databases.archived(t.spark, database(t)), files.scratch(t.spark)
     wanted = "SELECT o_orderkey, o_totalprice FROM orders"
     databases.load_new(t.spark, at, f"{wanted} WHERE o_totalprice < 30000", "o_orderkey", target)
     return databases.load_new(t.spark, at, wanted, "o_orderkey", target).select("o_orderkey", "o_totalprice")
