@@ -167,11 +167,12 @@ def jdbc_incremental(t: Tables) -> DataFrame:
 def warehouse_unload(t: Tables) -> DataFrame:
     """Two runs are unloaded, the later one twice, and copied into another table."""
     at, path = database(t), files.scratch(t.spark)
+    source = databases.archived(t.spark, at)
     rows = "SELECT O_ORDERKEY, O_TOTALPRICE FROM ORDERS WHERE O_ORDERPRIORITY = '$$priority'"
     for day, priority in (("2024-01-01", "1-URGENT"), ("2024-01-02", "3-MEDIUM"), ("2024-01-02", "2-HIGH")):
-        databases.unload(t.spark, at, rows, "O_ORDERKEY", path, {"priority": priority}, pt_data_dt=day)
+        databases.unload(t.spark, source, rows, "O_ORDERKEY", path, {"priority": priority}, pt_data_dt=day)
     databases.copy_into(t.spark, path, at, "HIGH_ORDERS", "O_ORDERKEY BIGINT, O_TOTALPRICE DOUBLE", pt_data_dt="2024-01-02")
-    return databases.read_parts(t.spark, at, "SELECT * FROM HIGH_ORDERS", "O_ORDERKEY", 4).select("o_orderkey", "o_totalprice")
+    return databases.read_parts(t.spark, databases.archived(t.spark, at), "SELECT * FROM HIGH_ORDERS", "O_ORDERKEY", 4).select("o_orderkey", "o_totalprice")
 
 
 @query("SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON lower(trim(replace(c_name, 'Customer', 'Firm'))) = lower(trim(replace(s_name, 'Supplier', 'firm')))")

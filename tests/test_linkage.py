@@ -362,7 +362,7 @@ from goldenloom.plans import catalog
 shared, data = sys.argv[1:]
 conf = {"spark.executor.memory": "600m", "spark.checkpoint.dir": f"file://{shared}", "spark.ui.enabled": "false", "spark.driver.host": "127.0.0.1"}
 spark = SparkSession.builder.master("local-cluster[2,2,1000]").config(map=conf).getOrCreate()
-for name in ("jdbc_parts", "jdbc_incremental"):
+for name in ("jdbc_parts", "jdbc_incremental", "warehouse_unload"):
     catalog.QUERIES[name](spark, data).write.parquet(f"file://{shared}/{name}")
 """
 
@@ -371,7 +371,7 @@ def test_databases_are_read_by_executors_of_their_own(spark, tmp_path):
     import duckdb
 
     subprocess.run([sys.executable, "-c", ON_EXECUTORS, str(tmp_path), DATA], cwd=tmp_path, check=True, timeout=300)
-    for name in ("jdbc_parts", "jdbc_incremental"):
+    for name in ("jdbc_parts", "jdbc_incremental", "warehouse_unload"):
         con = duckdb.connect()
         con.execute(f"create view orders as select * from '{DATA}/orders.parquet'")
         assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/{name}").collect())) == sorted(con.execute(ORACLE_SQL[name]).fetchall())
