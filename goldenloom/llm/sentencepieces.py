@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -19,6 +18,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -144,11 +144,13 @@ class Cutter:
             self.at_first, self.at_second = _numbers(2 * longest, 2), _numbers(2 * longest, 3)
         offset = np.arange(len(code)) - np.repeat(starts, sizes)
         letters = self.of_code[code]
-        first, second = np.add.reduceat(letters * self.at_first[offset], starts), np.add.reduceat(letters * self.at_second[offset], starts)
+        last = np.append(starts[1:], len(code)) - 1
+        # Sums of each unit as differences of running sums, which may wrap around: units are too short for reduceat.
+        first, second = (np.diff(np.cumsum(letters * at[offset])[last], prepend=np.uint64(0)) for at in (self.at_first, self.at_second))
         return Units(whole, starts, first, second, [*np.searchsorted(starts, begins).tolist(), len(starts)])
 
 
-def chunks(texts: pa.Array, chars: int = 1 << 20) -> Iterator[list[str | None]]:
+def chunks(texts: pa.Array, chars: int = 1 << 18) -> Iterator[list[str | None]]:
     """All texts in runs of about so many characters, so that a worker's arrays stay small."""
     run, size = [], 0
     for t in texts:
@@ -393,32 +395,54 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Re
             yield b.slice(k, rows)
 
 
+class Seen:
+    """Distinct units and how often they were seen, known by their hashes; each is named once."""
+
+    def __init__(self):
+        self.first, self.second = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.n, self.number, self.names = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+
+    def add(self, units: Units) -> None:
+        """Units with one first hash and several second ones may be held more than once."""
+        order = np.argsort(units.first)
+        first, second = units.first[order], units.second[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+        at = np.flatnonzero(new)
+        first, second, n = first[at], second[at], np.diff(at, append=len(order))
+        k, known = np.searchsorted(self.first, first), np.zeros(len(at), bool)
+        if len(self.first):
+            safe = np.minimum(k, len(self.first) - 1)
+            known = (self.first[safe] == first) & (self.second[safe] == second)
+        np.add.at(self.n, k[known], n[known])
+        k, made = k[~known], units.named(order[at[~known]])
+        self.first, self.second = np.insert(self.first, k, first[~known]), np.insert(self.second, k, second[~known])
+        self.n, self.number = np.insert(self.n, k, n[~known]), np.insert(self.number, k, np.arange(len(made)) + len(self.names))
+        self.names += made
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def told(self) -> pa.RecordBatch:
+        """(unit, n), sorted, as equal beginnings side by side make the shuffle smaller."""
+        names, n = pa.array(self.names, pa.string()), np.empty(len(self), np.int64)
+        n[self.number] = self.n
+        order = pc.sort_indices(names)
+        return pa.RecordBatch.from_arrays([names.take(order), pa.array(n).take(order)], ["unit", "n"])
+
+
 def unit_counts(texts: DataFrame, model: Pieces) -> DataFrame:
     """texts(text) to distinct (unit, n, len)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, seen = Cutter(model.pairs), Counter()
-
-        def told() -> pa.RecordBatch:
-            # Sorted, as equal beginnings side by side make the shuffle smaller.
-            order = sorted(seen)
-            names, n = pa.array(order, pa.string()), pa.array([seen[u] for u in order], pa.int64())
-            seen.clear()
-            return pa.RecordBatch.from_arrays([names, n], ["unit", "n"])
-
+        cut, seen = Cutter(model.pairs), Seen()
         for b in batches:
             for run in chunks(b.column(0)):
-                units = cut(run)
-                order = np.argsort(units.first, kind="stable")
-                first, second = units.first[order], units.second[order]
-                new = np.ones(len(order), bool)
-                new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
-                at = np.flatnonzero(new)
-                for u, n in zip(units.named(order[at]), np.diff(at, append=len(order)).tolist()):
-                    seen[u] += n
+                seen.add(cut(run))
                 if len(seen) > COUNTED:
-                    yield told()
-        yield told()
+                    yield seen.told()
+                    seen = Seen()
+        yield seen.told()
 
     counted = texts.mapInArrow(count, "unit string, n long")
     # The length as an aggregate: a filter on it stays above the shuffle, which lattice() so uses twice.
@@ -439,7 +463,8 @@ def _packed(docs: DataFrame, model: Pieces, id_col: str, text_col: str, frequent
     units = unit_counts(docs.select(F.col(text_col).cast("string").alias("text")), model)
     # A short unit has a few dozen edges: ten thousand groups take less memory than the sort that they spare. Units'
     # partitions aren't joined by their bytes, which the lattice multiplies.
-    with setting(spark, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "10000"), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+    # Texts are handed over in small batches, as they take memory on both sides.
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"), setting(spark, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "10000"), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
         paths = table(lattice(units, model), "unit-paths")
     often, others = frequent_paths(paths, min(frequent, GAP - 1))
     shared = spark.sparkContext.broadcast(Paths(often, model))

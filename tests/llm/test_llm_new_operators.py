@@ -441,3 +441,24 @@ def test_near_duplicates_of_a_hot_print_and_many_others(spark):
                     least[p] = i
                     open_ += near[p]
     assert all(got[i][1] == least[p] for i, p in prints.items())
+
+
+def test_units_are_counted_in_small_runs():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from goldenloom.llm import sentencepieces
+
+    rng = random.Random(5)
+    texts = [" ".join(f"{rng.choice(('north', 'South', 'x'))}{rng.randrange(3000)}" for _ in range(400)) for _ in range(800)] + [None, "", "  a"]
+    cut, seen = sentencepieces.Cutter(frozenset(["▁n", "no", "or", "▁S", "So", "▁▁"] + [f"{a}{b}" for a in range(10) for b in range(10)])), sentencepieces.Seen()
+    tracemalloc.start()
+    for run in sentencepieces.chunks(pa.array(texts)):
+        seen.add(cut(run))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    told = seen.told()
+    whole = cut(texts)
+    assert dict(zip(told.column(0).to_pylist(), told.column(1).to_pylist())) == Counter(whole.named(np.arange(len(whole.starts))))
+    assert told.column(0).to_pylist() == sorted(set(told.column(0).to_pylist())) and peak < 40e6, peak
