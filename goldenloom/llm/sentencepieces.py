@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cached_property
@@ -39,6 +39,8 @@ UNKNOWN_PENALTY = 10.0
 GAP = 0xFFFFFF
 #: Distinct units that a worker counts before it hands them on.
 COUNTED = 200_000
+#: Units that it hands on at once: a batch is whole in the worker's and in the executor's memory.
+TOLD = 10_000
 
 
 @dataclass(frozen=True)
@@ -77,9 +79,9 @@ def load_pieces(path: str) -> Pieces:
     return Pieces(pieces, tuple(bytes_[f"<0x{b:02X}>"] for b in range(256)), n)
 
 
-def _numbers(n: int, seed: int) -> np.ndarray:
-    """n fixed pseudo-random odd 64-bit numbers (splitmix64)."""
-    x = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)
+def _numbers(which: np.ndarray, seed: int) -> np.ndarray:
+    """Those of the fixed pseudo-random odd 64-bit numbers of a seed (splitmix64) that have these places."""
+    x = (which.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return (x ^ (x >> np.uint64(31))) | np.uint64(1)
@@ -114,7 +116,9 @@ class Cutter:
         self.near = np.zeros(self.SMALL * self.SMALL, bool)
         low = codes[(codes < self.SMALL - 1).all(1)]
         self.near[low[:, 0] * self.SMALL + low[:, 1]] = True
-        self.of_code, self.at_first, self.at_second = _numbers(0x110000, 1), _numbers(64, 2), _numbers(64, 3)
+        # Likewise the letters' numbers: a table of all would be most of a worker's memory.
+        self.of_code = _numbers(np.arange(self.SMALL), 1)
+        self.at_first, self.at_second = (_numbers(np.arange(64), seed) for seed in (2, 3))
 
     def __call__(self, texts: list[str], marked: bool = False) -> Units:
         """Empty and null texts have no units; marked: the texts are units or words that have their space marks."""
@@ -141,9 +145,10 @@ class Cutter:
         sizes = np.diff(starts, append=len(code))
         longest = int(sizes.max())
         if longest > len(self.at_first):
-            self.at_first, self.at_second = _numbers(2 * longest, 2), _numbers(2 * longest, 3)
-        offset = np.arange(len(code)) - np.repeat(starts, sizes)
-        letters = self.of_code[code]
+            self.at_first, self.at_second = (_numbers(np.arange(2 * longest), seed) for seed in (2, 3))
+        offset = np.arange(len(code), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes)
+        letters = self.of_code[low]
+        letters[other] = _numbers(code[other], 1)
         last = np.append(starts[1:], len(code)) - 1
         # Sums of each unit as differences of running sums, which may wrap around: units are too short for reduceat.
         first, second = (np.diff(np.cumsum(letters * at[offset])[last], prepend=np.uint64(0)) for at in (self.at_first, self.at_second))
@@ -219,7 +224,10 @@ def lattice(units: DataFrame, model: Pieces) -> DataFrame:
     """units(unit, n, len), distinct and not empty, to (unit, n, path): path holds the ids of the best path, and -1 - c
     for a character with code point c that has no piece. Ties go to the earlier start."""
     longest = model.longest
-    pieces = units.sparkSession.createDataFrame(list(model.pieces), "piece string, id int, score double").withColumn("h", F.xxhash64("piece"))
+    # From Arrow: rows from a list would pass Python workers of their own, which stay beside those of the scans.
+    names, ids, scores = zip(*model.pieces) if model.pieces else ((), (), ())
+    of_model = pa.table({"piece": pa.array(names, pa.string()), "id": pa.array(ids, pa.int32()), "score": pa.array(scores, pa.float64())})
+    pieces = units.sparkSession.createDataFrame(of_model).withColumn("h", F.xxhash64("piece"))
     pieces = F.broadcast(pieces) if len(model.pieces) <= BROADCAST_PIECES else pieces
     starts = units.where(F.col("len") <= BLOCK).select("unit", "n", F.explode(F.expr("sequence(0, length(unit) - 1)")).alias("s"))
     subs = starts.select("unit", "n", "s", F.explode(F.expr(f"sequence(1, least({longest}, length(unit) - s))")).alias("l"))
@@ -388,7 +396,7 @@ class Filler:
         return out
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     """All rows in small batches, so that a worker holds few results at a time."""
     for b in batches:
         for k in range(0, b.num_rows, rows):
@@ -400,7 +408,8 @@ class Seen:
 
     def __init__(self):
         self.first, self.second = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.n, self.number, self.names = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+        self.n, self.number = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.names: list[pa.Array] = []
 
     def add(self, units: Units) -> None:
         """Units with one first hash and several second ones may be held more than once."""
@@ -415,17 +424,17 @@ class Seen:
             safe = np.minimum(k, len(self.first) - 1)
             known = (self.first[safe] == first) & (self.second[safe] == second)
         np.add.at(self.n, k[known], n[known])
-        k, made = k[~known], units.named(order[at[~known]])
+        k, made = k[~known], pa.array(units.named(order[at[~known]]), pa.string())
         self.first, self.second = np.insert(self.first, k, first[~known]), np.insert(self.second, k, second[~known])
-        self.n, self.number = np.insert(self.n, k, n[~known]), np.insert(self.number, k, np.arange(len(made)) + len(self.names))
-        self.names += made
+        self.n, self.number = np.insert(self.n, k, n[~known]), np.insert(self.number, k, np.arange(len(made)) + len(self))
+        self.names.append(made)
 
     def __len__(self) -> int:
-        return len(self.names)
+        return sum(map(len, self.names))
 
     def told(self) -> pa.RecordBatch:
         """(unit, n), sorted, as equal beginnings side by side make the shuffle smaller."""
-        names, n = pa.array(self.names, pa.string()), np.empty(len(self), np.int64)
+        names, n = pa.concat_arrays([pa.array([], pa.string()), *self.names]), np.empty(len(self), np.int64)
         n[self.number] = self.n
         order = pc.sort_indices(names)
         return pa.RecordBatch.from_arrays([names.take(order), pa.array(n).take(order)], ["unit", "n"])
@@ -440,9 +449,9 @@ def unit_counts(texts: DataFrame, model: Pieces) -> DataFrame:
             for run in chunks(b.column(0)):
                 seen.add(cut(run))
                 if len(seen) > COUNTED:
-                    yield seen.told()
+                    yield from slices([seen.told()], TOLD)
                     seen = Seen()
-        yield seen.told()
+        yield from slices([seen.told()], TOLD)
 
     counted = texts.mapInArrow(count, "unit string, n long")
     # The length as an aggregate: a filter on it stays above the shuffle, which lattice() so uses twice.
@@ -463,8 +472,8 @@ def _packed(docs: DataFrame, model: Pieces, id_col: str, text_col: str, frequent
     units = unit_counts(docs.select(F.col(text_col).cast("string").alias("text")), model)
     # A short unit has a few dozen edges: ten thousand groups take less memory than the sort that they spare. Units'
     # partitions aren't joined by their bytes, which the lattice multiplies.
-    # Texts are handed over in small batches, as they take memory on both sides.
-    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"), setting(spark, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "10000"), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+    # Texts are read and handed over in small batches, as they take memory on both sides.
+    with setting(spark, "spark.sql.parquet.columnarReaderBatchSize", "500"), setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"), setting(spark, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "10000"), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
         paths = table(lattice(units, model), "unit-paths")
     often, others = frequent_paths(paths, min(frequent, GAP - 1))
     shared = spark.sparkContext.broadcast(Paths(often, model))

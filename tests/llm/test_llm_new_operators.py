@@ -462,3 +462,25 @@ def test_units_are_counted_in_small_runs():
     whole = cut(texts)
     assert dict(zip(told.column(0).to_pylist(), told.column(1).to_pylist())) == Counter(whole.named(np.arange(len(whole.starts))))
     assert told.column(0).to_pylist() == sorted(set(told.column(0).to_pylist())) and peak < 40e6, peak
+
+
+def test_units_are_cut_without_a_table_of_all_letters(spark):
+    import tracemalloc
+
+    from goldenloom.llm import sentencepieces
+
+    texts = [f"{chr(a)}b{chr(b)} {chr(b)}" for a, b in zip(range(0x400, 0xD000, 97), range(0x1F300, 0x2F300, 97))]
+    tracemalloc.start()
+    cut = sentencepieces.Cutter(frozenset(["\u2581\u4e00", "ab", "b\U0001f300"]))
+    units = cut(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    names = units.named(np.arange(len(units.starts)))
+    assert len(set(zip(units.first.tolist(), units.second.tolist()))) == len(set(units.first.tolist())) == len(set(names))
+    assert peak < 12e6, peak
+    # The model's pieces pass no Python workers: they would stay beside the scans' own.
+    model = sentencepieces.Pieces((("a", 0, -1.0), ("ab", 1, -1.5), ("\u2581", 2, -2.0)), tuple(range(3, 259)), 259)
+    made = sentencepieces.lattice(spark.createDataFrame([("\u2581ab", 1, 3)], "unit string, n long, len int"), model)
+    pieces = [p for p in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "piece#" in p and ("RDD" in p or "LocalRelation" in p)]
+    assert pieces and not any("RDD" in p for p in pieces), pieces
+    assert made.collect()[0]["path"] == [2, 1]
