@@ -39,6 +39,8 @@ UNKNOWN_PENALTY = 10.0
 GAP = 0xFFFFFF
 #: Distinct units that a worker counts before it hands them on.
 COUNTED = 200_000
+#: Units go to finer partitions up to this number; settings above it stay.
+FINE_PARTITIONS = 96
 #: Units that it hands on at once: a batch is whole in the worker's and in the executor's memory.
 TOLD = 10_000
 
@@ -458,6 +460,12 @@ def unit_counts(texts: DataFrame, model: Pieces) -> DataFrame:
     return counted.groupBy("unit").agg(F.sum("n").alias("n"), F.max(F.length("unit")).alias("len"))
 
 
+def unit_partitions(n: int) -> int:
+    """Where Spark is set to few partitions, four times as many for units: a small input's texts have nearly as many
+    different units as a larger one's, and each is a few dozen edges in the memory of its task."""
+    return max(n, min(4 * n, FINE_PARTITIONS))
+
+
 def _keys(text_col: str) -> list[Column]:
     """A text's key: two hashes. Rows of one text share the paths of its gaps."""
     text = F.col(text_col).cast("string")
@@ -473,7 +481,7 @@ def _packed(docs: DataFrame, model: Pieces, id_col: str, text_col: str, frequent
     # A short unit has a few dozen edges: ten thousand groups take less memory than the sort that they spare. Units'
     # partitions aren't joined by their bytes, which the lattice multiplies.
     # Texts are read and handed over in small batches, as they take memory on both sides.
-    with setting(spark, "spark.sql.parquet.columnarReaderBatchSize", "500"), setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"), setting(spark, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "10000"), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+    with setting(spark, "spark.sql.parquet.columnarReaderBatchSize", "500"), setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"), setting(spark, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "10000"), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"), setting(spark, "spark.sql.shuffle.partitions", str(unit_partitions(int(spark.conf.get("spark.sql.shuffle.partitions"))))):
         paths = table(lattice(units, model), "unit-paths")
     often, others = frequent_paths(paths, min(frequent, GAP - 1))
     shared = spark.sparkContext.broadcast(Paths(often, model))

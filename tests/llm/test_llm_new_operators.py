@@ -484,3 +484,22 @@ def test_units_are_cut_without_a_table_of_all_letters(spark):
     pieces = [p for p in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "piece#" in p and ("RDD" in p or "LocalRelation" in p)]
     assert pieces and not any("RDD" in p for p in pieces), pieces
     assert made.collect()[0]["path"] == [2, 1]
+
+
+def test_units_go_to_finer_partitions(spark, tmp_path, monkeypatch):
+    from goldenloom.llm import sentencepieces
+
+    asked, table = [], sentencepieces.table
+
+    def told(df, name):
+        asked.append(spark.conf.get("spark.sql.shuffle.partitions"))
+        return table(df, name)
+
+    monkeypatch.setattr(sentencepieces, "table", told)
+    model = sentencepieces.Pieces((("a", 0, -1.0), ("ab", 1, -1.5), ("\u2581", 2, -2.0)), tuple(range(3, 259)), 259)
+    docs = spark.createDataFrame([(1, "ab a"), (2, None), (3, "ab" * 50)], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = {r["doc_id"]: r["ids"] for r in sentencepieces.round_trip(docs, model, with_ids=True).collect()}
+    assert asked == [str(4 * int(before))] and spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert got == {1: [2, 1, 2, 0], 2: [], 3: [2] + [1] * 50}
+    assert sentencepieces.unit_partitions(3000) == 3000
