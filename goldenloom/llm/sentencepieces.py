@@ -39,8 +39,8 @@ UNKNOWN_PENALTY = 10.0
 GAP = 0xFFFFFF
 #: Distinct units that a worker counts before it hands them on.
 COUNTED = 200_000
-#: Units go to finer partitions up to this number; settings above it stay.
-FINE_PARTITIONS = 96
+#: Units go to finer partitions up to this number; settings above it stay, as finer ones pack worse on disk.
+FINE_PARTITIONS = 48
 #: Units that it hands on at once: a batch is whole in the worker's and in the executor's memory.
 TOLD = 10_000
 
