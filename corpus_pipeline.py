@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldenloom.llm import decontaminate, lines, quality, sentencepieces, similar
-from goldenloom.llm.common import fresh, named, new_path, read
+from goldenloom.llm.common import fresh, named, read, table
 from goldenloom.llm.queries import TOKENIZERS
 
 
@@ -62,7 +62,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         made = stage(spark, docs, sf_dir)
         if k + 1 == len(STAGES):
             return made
-        path = new_path(spark, f"stage-{k}")
-        made.write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = table(made, f"stage-{k}")
     return docs

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,11 +58,23 @@ def drop_intermediates(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it again: the lineage is cut, lost executors cost
-    nothing, and later joins know its true size, so Spark broadcasts it only when that is small."""
+    nothing, and later joins know its true size, so Spark broadcasts it only when that is small. The shuffles that made it
+    go once it is written; else their files would stay until the driver happens to collect its garbage."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -25,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldenloom.llm.common import table
+from goldenloom.llm.common import setting, table
 
 SPACE = "▁"
 #: Units over this length are cut into overlapping blocks of it, and folded with back pointers.
@@ -170,16 +169,6 @@ def chunks(texts: pa.Array, chars: int = 1 << 18) -> Iterator[list[str | None]]:
         yield run
 
 
-@contextmanager
-def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def _edges(subs: DataFrame, pieces: DataFrame, unknown: float) -> DataFrame:
     """subs(unit, n, s, e, p): an edge for each substring p that is a piece or one character. Joined by
     hash, as most substrings are no piece, and then compared."""

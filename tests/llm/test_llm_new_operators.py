@@ -503,3 +503,19 @@ def test_units_go_to_finer_partitions(spark, tmp_path, monkeypatch):
     assert asked == [str(4 * int(before))] and spark.conf.get("spark.sql.shuffle.partitions") == before
     assert got == {1: [2, 1, 2, 0], 2: [], 3: [2] + [1] * 50}
     assert sentencepieces.unit_partitions(3000) == 3000
+
+
+def test_intermediate_tables_leave_no_shuffle_files(spark):
+    shuffles = lambda: {x for x in str(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()).split(", ") if "shuffle_" in x}
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, left, wanted = spark.conf.get(key), shuffles(), spark.range(5000).groupBy("id").count()
+    made = common.table(wanted, "no-shuffles")
+    until = time.time() + 20
+    while shuffles() - left and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - left
+    assert spark.conf.get(key) == before and made.count() == wanted.count() == 5000
+    # What shares a table's plan is worked out again.
+    both = wanted.join(made.withColumnRenamed("count", "n"), "id")
+    assert common.table(both, "first").count() == common.table(both, "second").count() == both.count() == 5000
+    assert all(".zstd." in f for f in made.inputFiles())
