@@ -500,9 +500,13 @@ def _packed(docs: DataFrame, model: Pieces, id_col: str, text_col: str, frequent
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(packed, pa.binary())], ["id", "text_hash", "other_hash", "packed"])
 
     keys = [T.StructField("text_hash", T.LongType()), T.StructField("other_hash", T.LongType())]
-    rare = narrow.select("text_hash", "other_hash", "text").mapInArrow(gaps, T.StructType([*keys, T.StructField("place", T.IntegerType()), T.StructField("unit", T.StringType())]))
-    filled = rare.join(others, "unit").groupBy("text_hash", "other_hash").agg(F.collect_set(F.struct("place", "path")).alias("filled"))
     whole = narrow.mapInArrow(pack, T.StructType([T.StructField("id", id_type), *keys, T.StructField("packed", T.BinaryType())]))
+    if others.isEmpty():  # then no text has a gap
+        return whole.select("id", "text_hash", "packed", F.lit(None).cast("array<struct<place:int,path:array<int>>>").alias("filled")), shared
+    rare = narrow.select("text_hash", "other_hash", "text").mapInArrow(gaps, T.StructType([*keys, T.StructField("place", T.IntegerType()), T.StructField("unit", T.StringType())]))
+    # Written before they are grouped, so that the shuffles that bring units to their paths are gone when the texts are shuffled.
+    of_gaps = table(rare.join(others, "unit").select("text_hash", "other_hash", "place", "path"), "gap-paths")
+    filled = of_gaps.groupBy("text_hash", "other_hash").agg(F.collect_set(F.struct("place", "path")).alias("filled"))
     return whole.join(filled, ["text_hash", "other_hash"], "left").select("id", "text_hash", "packed", "filled"), shared
 
 

@@ -519,3 +519,18 @@ def test_intermediate_tables_leave_no_shuffle_files(spark):
     both = wanted.join(made.withColumnRenamed("count", "n"), "id")
     assert common.table(both, "first").count() == common.table(both, "second").count() == both.count() == 5000
     assert all(".zstd." in f for f in made.inputFiles())
+
+
+def test_paths_of_gaps_are_written_before_texts_are_shuffled(spark):
+    from goldenloom.llm import sentencepieces
+
+    model = sentencepieces.Pieces((("a", 0, -1.0), ("ab", 1, -1.5), ("\u2581", 2, -2.0)), tuple(range(3, 259)), 259)
+    given = [(1, "ab a"), (2, None), (3, "ab" * 50), (4, "ab a"), (5, "b\u00e9 ab"), (None, "a")]
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    moved, results = [], []
+    for frequent in (0, 1, 100):  # all, some and none of the units are rare
+        with common.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+            made = sentencepieces.round_trip(docs, model, frequent=frequent, with_ids=True)
+            moved.append(made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+            results.append(sorted(map(str, made.collect())))
+    assert moved == [2, 2, 0] and results[0] == results[1] == results[2] and all("restored=True" in r for r in results[0])
