@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldenloom.functions.keys import let
 from goldenloom.sources import files
 
 
@@ -24,9 +23,9 @@ class Comparison:
     score: Column
     cuts: tuple[float, ...] = (0.7, 0.9)
 
-    def level(self) -> Column:
-        """0 for the least alike; -1 for missing."""
-        return let(self.score, lambda s: F.when(s.isNull(), F.lit(-1)).otherwise(sum((F.when(s >= cut, 1).otherwise(0) for cut in self.cuts), F.lit(0))))
+    def level(self, score: Column) -> Column:
+        """Of a worked out score: 0 for the least alike; -1 for missing."""
+        return F.when(score.isNull(), F.lit(-1)).otherwise(sum((F.when(score >= cut, 1).otherwise(0) for cut in self.cuts), F.lit(0)))
 
 
 @dataclass(frozen=True)
@@ -95,7 +94,9 @@ def match(pairs: DataFrame, comparisons: list[Comparison], recall_weight: float
     pattern, at most the product of the fields' levels and missing marks, whatever the number of pairs."""
     levels = [len(c.cuts) + 1 for c in comparisons]
     names = [f"_level_{k}" for k in range(len(comparisons))]
-    leveled = files.stored(pairs.withColumns({n: c.level() for n, c in zip(names, comparisons)}))  # compared once
+    # Scores are columns first, each worked out once; inside a lambda what they share would be worked out again and again.
+    scored = pairs.withColumns({n: c.score for n, c in zip(names, comparisons)})
+    leveled = files.stored(scored.withColumns({n: c.level(F.col(n)) for n, c in zip(names, comparisons)}))
     patterns = {tuple(r[n] for n in names): r["_n"] for r in leveled.groupBy(*names).agg(F.count("*").alias("_n")).collect()}
     model = learn(patterns, levels)
     least = threshold(patterns, model, recall_weight)

@@ -58,6 +58,26 @@ def test_short_names_meet_on_few_rows(spark):
     assert rest.count() == 0 and sorted(map(tuple, pairs.collect())) == sorted(tuple(sorted(p)) for p in ((names[0], names[0][:7] + names[0][8:]), (names[1], "zz" + names[1])))
 
 
+@pytest.mark.parametrize("least, shortest, longest, start", [(0.8, 12, 24, "abcd"), (0.7, 7, 16, ""), (0.6, 5, 12, "")])
+def test_short_names_meet_on_parts_longer_than_common_stretches(spark, monkeypatch, least, shortest, longest, start):
+    """The first stretch is that of all names, if they have the same start; halves and thirds within an edit are longer."""
+    monkeypatch.setattr(similarity, "COMMON", 25 if start else 1000)
+    rng = random.Random(11)
+    letters = "abcdefghijklmnop" if start else "abcd"
+    names = ["".join(rng.choice(letters) for _ in range(rng.randint(shortest, longest) - len(start))) for _ in range(700)]
+    for name in names[:200]:
+        for _ in range(rng.randint(1, 4)):
+            k = rng.randrange(len(name))
+            name = rng.choice([name[:k] + name[k + 1 :], name[:k] + "d" + name[k:], name[:k] + "a" + name[k + 1 :]])
+        names.append(name.ljust(shortest - len(start), "p")[: longest - len(start)])
+    df = spark.createDataFrame([(start + n,) for n in sorted(set(names))], "t string")
+    pairs, rest = similarity._stretches(df, least)
+    every = df.select(F.col("t").alias("a")).crossJoin(df.select(F.col("t").alias("b"))).where("a < b")
+    want = every.where(resolve.similarity(F.col("a"), F.col("b")) >= least - 1e-12)
+    assert want.count() > 100 and sorted(map(tuple, pairs.collect())) == sorted(map(tuple, want.collect()))
+    assert rest.where(F.floor(F.ceil(F.length("t") / least + 1e-9) * (1 - least) + 1e-9) <= similarity.MOST_EDITS).count() == 0
+
+
 def test_comparators(spark):
     rows = [("a b|c", "C|a b| ", "Main St", "Main Street", "abc", "xxabdxx"), ("", "x", "", "", "", "ab"), (None, "x", None, "y", None, "y"), ("A", "a", "Main", "main", "same", "same")]
     df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string, f string")
