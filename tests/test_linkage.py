@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import re
 import statistics
 import subprocess
 import sys
@@ -127,6 +128,15 @@ def test_scores_of_values_reach_all_their_pairs(spark, monkeypatch, known):
     assert similarity.scored_pairs(df.where("false"), "id", ["k"], "v", lambda x, y: {"s": F.levenshtein(x, y)}).count() == 0
 
 
+def test_no_loop_keeps_the_rows_of_two_lists(spark):
+    """The lists of two values are written out by loops of their own, not by one whose rows are all kept until it ends."""
+    df = spark.range(300).select("id", F.lit("all").alias("k"), F.when(F.col("id") % 2 == 0, "ring").otherwise("pin").alias("v"))
+    pairs = similarity.scored_pairs(df, "id", ["k"], "v", lambda x, y: {"s": F.levenshtein(x, y)})
+    assert len(pairs.collect()) == 300 * 299 // 2
+    loops = [line.split("Generate")[0].strip(" +-:") for line in pairs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines() if re.search(r"Generate explode\(.*_[xy]", line)]
+    assert len(loops) == 2 and len(set(loops)) == 2
+
+
 def test_fuzzy_pairs_of_a_block_of_copies(spark):
     n = 4000
     df = spark.range(n).select("id", F.lit("all").alias("k"), F.when(F.col("id") % 2 == 0, "large ring").otherwise("cold plate").alias("v"))
